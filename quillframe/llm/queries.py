@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import media, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts stored as media archives and described from what is read back."""
+    return media.media_round_trip(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives, normalised, and read back by offset."""
+    return warc.warc_round_trip(_table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, 4 differing bits."""
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"), "doc_id", "text", words=4, max_bits=4)
@@ -24,6 +34,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_media_columns": op2_media_columns,
+        "op7_warc": op7_warc,
         "op9_simhash": op9_simhash,
     }
 

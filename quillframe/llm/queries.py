@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, simhash, warc
+from . import media, mixing, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_round_trip(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source: weights 5, 2, 1, 150% of all words, no source or document above 2 times its own."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), "doc_id", "text", "source", weights=(5, 2, 1), share=1.5, cap=2.0)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives, normalised, and read back by offset."""
     return warc.warc_round_trip(_table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
@@ -35,6 +40,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_media_columns": op2_media_columns,
+        "op6_mixing": op6_mixing,
         "op7_warc": op7_warc,
         "op9_simhash": op9_simhash,
     }

@@ -124,8 +124,11 @@ def simhash_components(
     tied = components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
     tied = written(tied, "tied")
     least = tied.join(nodes, "fp").groupBy("root").agg(F.min("rep").alias("least"))
-    of_node = nodes.join(tied.join(least, "root").select("fp", "least", F.lit(True).alias("linked")), "fp", "left").select(
-        "fp", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("component_id")
+    of_node = written(
+        nodes.join(tied.join(least, "root").select("fp", "least", F.lit(True).alias("linked")), "fp", "left").select(
+            "fp", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("component_id")
+        ),
+        "of-node",
     )
     return marked.join(of_node, "fp").select(id_col, "fp", "component_id")
 

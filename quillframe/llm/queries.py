@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, mixing, simhash, warc
+from . import langid, media, mixing, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(id_col: str, n: int) -> Column:
+    """crc32 of an id as text, modulo n; a null id counts as an empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(n))
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts stored as media archives and described from what is read back."""
     return media.media_round_trip(_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -37,12 +42,22 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from the documents outside the fold 2 of 4."""
+    documents = _table(spark, sf_dir, "documents")
+    model = langid.train(documents, "text", "lang", usable=_fold("doc_id", 4) != 2)
+    return langid.detect(documents, model, "doc_id", "text").select(
+        "doc_id", (_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_spans"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_media_columns": op2_media_columns,
         "op6_mixing": op6_mixing,
         "op7_warc": op7_warc,
         "op9_simhash": op9_simhash,
+        "op10_language_id": op10_language_id,
     }
 
 

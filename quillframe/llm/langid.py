@@ -84,7 +84,7 @@ class Model:
 
     def learn(self, words: set[str]) -> None:
         """Put the log-posteriors of new words into the memo, which holds what ``words`` need and a bounded rest."""
-        new = list(words - self.memo.keys())
+        new = list(words.difference(self.memo))
         if len(self.memo) + len(new) > _MEMO:
             self.memo.clear()
             self.scores = None

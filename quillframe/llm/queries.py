@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, media, mixing, simhash, warc
+from . import langid, media, mixing, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,15 @@ def _fold(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(n))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from the labels outside the fold 1 of 3."""
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, _table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", usable=_fold("doc_id", 3) != 1)
+    return toxicity.scores(documents, model, "doc_id", "text").select(
+        "doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts stored as media archives and described from what is read back."""
     return media.media_round_trip(_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -53,6 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_media_columns": op2_media_columns,
         "op6_mixing": op6_mixing,
         "op7_warc": op7_warc,

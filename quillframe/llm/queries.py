@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, media, mixing, simhash, toxicity, warc
+from . import langid, media, mixing, pieces, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,28 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(_table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
 
 
+#: A SentencePiece model file, or an empty name for the public 32k BPE model of this machine's vocabulary files.
+PIECES = ""
+
+
+def piece_model(path: str = PIECES) -> pieces.Model:
+    if not path:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.Model.load(path)
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all texts, and the digest of the text that they decode to."""
+    model = piece_model()
+    found = pieces.encode(_table(spark, sf_dir, "documents"), model, "doc_id", "text")
+    both = found.select(F.struct("doc_id", "ids").alias("row"), "ids")
+    return pieces.decode(both, model, "row", "ids").select(
+        "row.doc_id", F.size("row.ids").cast("long").alias("n_tokens"), "row.ids", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, 4 differing bits."""
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"), "doc_id", "text", words=4, max_bits=4)
@@ -66,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op2_media_columns": op2_media_columns,
         "op6_mixing": op6_mixing,
         "op7_warc": op7_warc,
+        "op8_sentencepiece": op8_sentencepiece,
         "op9_simhash": op9_simhash,
         "op10_language_id": op10_language_id,
     }

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -73,3 +75,13 @@ def task_id() -> tuple[int, int]:
 def partitions(spark: SparkSession, at_least: int = 1) -> int:
     """The number of partitions that shuffles of this session use."""
     return max(at_least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def extended(df: DataFrame, name: str, ddl: str, to: str = "") -> StructType:
+    """The schema of a column of ``df`` (named ``to`` if given) followed by those of ``ddl``."""
+    return StructType([StructField(to or name, df.schema[name].dataType), *StructType.fromDDL(ddl).fields])
+
+
+def packed(df: DataFrame, *columns: str) -> DataFrame:
+    """(row, *columns): every row of ``df`` as a struct, to travel through an operator in the place of an id."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import small_batches
+from ._common import extended, small_batches
 
 TRAIN_ROWS = 4000
 ORDERS = (1, 2, 3)
@@ -217,7 +217,6 @@ def detect(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     spark = df.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kind = df.schema[id_col].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,4 +254,4 @@ def detect(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     more = ", spans array<struct<start: long, end: long, lang: string>>" if with_spans else ""
-    return df.select(id_col, text_col).mapInArrow(of, f"`{id_col}` {kind}, lang_pred string, score double, n_spans long{more}")
+    return df.select(id_col, text_col).mapInArrow(of, extended(df, id_col, f"lang_pred string, score double, n_spans long{more}"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import small_batches, task_id, written
+from ._common import extended, small_batches, task_id, written
 
 CHUNK = 1 << 15
 GIANT = 2 * CHUNK
@@ -373,7 +373,6 @@ def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     spark = df.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kind = df.schema[id_col].dataType.simpleString()
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     large = F.coalesce(F.length("t"), F.lit(0)) > giant
 
@@ -396,8 +395,8 @@ def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 row += 1
                 for i, (before, body, after, left, right) in enumerate(chunks(model, model.normal(text.as_py()), size)):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{part}-{row}"]), pa.array([key.as_py()], batch.column(0).type), *map(pa.array, ([i], [before], [body], [after], [left], [right]))],
-                        names=["doc", "id", "at", "before", "body", "after", "hard_left", "hard_right"],
+                        [pa.array([key.as_py()], batch.column(0).type), pa.array([f"{part}-{row}"]), *map(pa.array, ([i], [before], [body], [after], [left], [right]))],
+                        names=["id", "doc", "at", "before", "body", "after", "hard_left", "hard_right"],
                     )
 
     def matrices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -435,12 +434,12 @@ def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     ends = model.forward(text, len(r.body), start)[len(r.body)]
                     end = (0, max(ends, key=lambda k: ends[k][0]))
                 out.append(list(model.ids_of(model.trace(text, len(r.body), start, end))))
-            yield pd.DataFrame({"doc": frame.doc, "id": frame.id, "at": frame.at_, "ids": out})
+            yield pd.DataFrame({"id": frame.id, "doc": frame.doc, "at": frame.at_, "ids": out})
 
-    short = texts.where(~large).mapInArrow(whole, f"id {kind}, ids array<int>")
+    short = texts.where(~large).mapInArrow(whole, extended(df, id_col, "ids array<int>", "id"))
     parts = written(
         texts.where(large).mapInArrow(
-            split, f"doc string, id {kind}, at long, before string, body string, after string, hard_left boolean, hard_right boolean"
+            split, extended(df, id_col, "doc string, at long, before string, body string, after string, hard_left boolean, hard_right boolean", "id")
         ),
         "chunks",
     )
@@ -449,7 +448,7 @@ def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         tables = named.select("doc", "at_", "before", "body", "after", "hard_left", "hard_right").mapInPandas(matrices, "doc string, at long, matrix binary")
         found = tables.groupBy("doc").applyInPandas(states, "doc string, at long, start array<long>, end array<long>")
         joined = named.join(found.withColumnRenamed("at", "at_"), ["doc", "at_"])
-        ids = joined.mapInPandas(traced, f"doc string, id {kind}, at long, ids array<int>")
+        ids = joined.mapInPandas(traced, extended(df, id_col, "doc string, at long, ids array<int>", "id"))
         short = short.unionByName(
             ids.groupBy("doc", "id").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("all")).select("id", F.flatten("all.ids").alias("ids"))
         )
@@ -472,7 +471,6 @@ def decode(df: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str = "
     """(id_col, text) for every row of ``df``; an empty text for null or no ids. Null ids in a list are passed over."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kind = df.schema[id_col].dataType.simpleString()
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -480,4 +478,4 @@ def decode(df: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str = "
             found = [model.decode(i for i in (ids.as_py() or ()) if i is not None) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=[id_col, "text"])
 
-    return df.select(id_col, ids_col).mapInArrow(of, f"`{id_col}` {kind}, text string")
+    return df.select(id_col, ids_col).mapInArrow(of, extended(df, id_col, "text string"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, media, mixing, pieces, simhash, toxicity, warc
+from ._common import packed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _fold(id_col: str, n: int) -> Column:
+def fold(id_col: str, n: int) -> Column:
     """crc32 of an id as text, modulo n; a null id counts as an empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(n))
 
@@ -24,9 +25,9 @@ def _fold(id_col: str, n: int) -> Column:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text, learned from the labels outside the fold 1 of 3."""
     documents = _table(spark, sf_dir, "documents")
-    model = toxicity.train(documents, _table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", usable=_fold("doc_id", 3) != 1)
+    model = toxicity.train(documents, _table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", usable=fold("doc_id", 3) != 1)
     return toxicity.scores(documents, model, "doc_id", "text").select(
-        "doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
 
 
@@ -61,8 +62,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all texts, and the digest of the text that they decode to."""
     model = piece_model()
     found = pieces.encode(_table(spark, sf_dir, "documents"), model, "doc_id", "text")
-    both = found.select(F.struct("doc_id", "ids").alias("row"), "ids")
-    return pieces.decode(both, model, "row", "ids").select(
+    return pieces.decode(packed(found, "ids"), model, "row", "ids").select(
         "row.doc_id", F.size("row.ids").cast("long").alias("n_tokens"), "row.ids", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")
     )
 
@@ -76,9 +76,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every text, learned from the documents outside the fold 2 of 4."""
     documents = _table(spark, sf_dir, "documents")
-    model = langid.train(documents, "text", "lang", usable=_fold("doc_id", 4) != 2)
+    model = langid.train(documents, "text", "lang", usable=fold("doc_id", 4) != 2)
     return langid.detect(documents, model, "doc_id", "text").select(
-        "doc_id", (_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_spans"
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_spans"
     )
 
 

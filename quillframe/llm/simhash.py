@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import small_batches, written
+from ._common import extended, small_batches, written
 from .components import components
 
 SEED = 42
@@ -55,7 +55,6 @@ def fingerprint(text: str | None, words: int = 4) -> int:
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
     """(id_col, fp long) of every row; the long holds the fingerprint's 64 bits."""
     small_batches(df.sparkSession)
-    kind = df.schema[id_col].dataType.simpleString()
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,7 +65,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [batch.column(0), pa.array(found.view(np.int64))], names=[id_col, "fp"]
             )
 
-    return df.select(id_col, text_col).mapInArrow(of, f"`{id_col}` {kind}, fp long")
+    return df.select(id_col, text_col).mapInArrow(of, extended(df, id_col, "fp long"))
 
 
 def _segments(n: int) -> list[tuple[int, int]]:

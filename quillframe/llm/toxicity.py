@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import small_batches
+from ._common import extended, small_batches
 
 TRAIN_ROWS = 16_000
 SPACE = 1 << 20
@@ -182,7 +182,6 @@ def scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     spark = df.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kind = df.schema[id_col].dataType.simpleString()
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -190,4 +189,4 @@ def scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             found = [model.score(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=[id_col, "score"])
 
-    return df.select(id_col, text_col).mapInArrow(of, f"`{id_col}` {kind}, score double")
+    return df.select(id_col, text_col).mapInArrow(of, extended(df, id_col, "score double"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, media, mixing, pieces, simhash, toxicity, warc
+from . import ann, langid, media, mixing, pieces, simhash, toxicity, warc
 from ._common import packed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_round_trip(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all embeddings to each whose id 20 divides."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=20, every=20)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source: weights 5, 2, 1, 150% of all words, no source or document above 2 times its own."""
     return mixing.mix(_table(spark, sf_dir, "documents"), "doc_id", "text", "source", weights=(5, 2, 1), share=1.5, cap=2.0)
@@ -86,6 +91,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_media_columns": op2_media_columns,
+        "op4_nearest": op4_nearest,
         "op6_mixing": op6_mixing,
         "op7_warc": op7_warc,
         "op8_sentencepiece": op8_sentencepiece,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, media, mixing, pieces, simhash, toxicity, warc
+from . import ann, html_crf, langid, media, mixing, pieces, simhash, toxicity, warc
 from ._common import packed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,13 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=20, every=20)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_crf.extract(_table(spark, sf_dir, "pages"), id_cols=("page_id", "url"), html_col="html").select(
+        "row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source: weights 5, 2, 1, 150% of all words, no source or document above 2 times its own."""
     return mixing.mix(_table(spark, sf_dir, "documents"), "doc_id", "text", "source", weights=(5, 2, 1), share=1.5, cap=2.0)
@@ -92,6 +99,7 @@ def queries() -> dict[str, Query]:
         "op1_toxicity": op1_toxicity,
         "op2_media_columns": op2_media_columns,
         "op4_nearest": op4_nearest,
+        "op5_html_extraction": op5_html_extraction,
         "op6_mixing": op6_mixing,
         "op7_warc": op7_warc,
         "op8_sentencepiece": op8_sentencepiece,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_crf, langid, media, mixing, pieces, simhash, toxicity, warc
+from . import ann, html_crf, langid, licences, media, mixing, pieces, simhash, toxicity, warc
 from ._common import packed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,15 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_round_trip(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, its own or its directory's; documents lie by source, thousand and hundred of their ids."""
+    path = F.concat_ws(
+        "/", F.coalesce("source", F.lit("")), F.floor(F.col("doc_id") / 1000).cast("string"),
+        F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"),
+    )
+    return licences.scan(_table(spark, sf_dir, "documents"), "doc_id", "text", path)
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all embeddings to each whose id 20 divides."""
     return ann.search(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=20, every=20)
@@ -98,6 +107,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_media_columns": op2_media_columns,
+        "op3_licences": op3_licences,
         "op4_nearest": op4_nearest,
         "op5_html_extraction": op5_html_extraction,
         "op6_mixing": op6_mixing,

@@ -30,7 +30,11 @@ def lexicon(df: DataFrame, text_col: str) -> DataFrame:
 
 def ngram_counts(df: DataFrame, symbols: Column, longest: int, least: int) -> DataFrame:
     """(length, ngram, n) of runs of 1 to ``longest`` symbols that occur ``least`` times: one pass for all lengths."""
-    each = [F.transform(symbol_ngrams(symbols, n), lambda g, n=n: F.struct(F.lit(n).alias("length"), g.alias("ngram"))) for n in range(1, longest + 1)]
+
+    def of(n: int) -> Column:
+        return F.transform(symbol_ngrams(symbols, n), lambda g: F.struct(F.lit(n).alias("length"), g.alias("ngram")))
+
+    each = [of(n) for n in range(1, longest + 1)]
     rows = df.select(F.explode(F.concat(*each)).alias("g")).select("g.length", "g.ngram")
     return rows.groupBy("length", "ngram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 

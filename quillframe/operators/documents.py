@@ -39,14 +39,13 @@ def canonical_agents(df: DataFrame, key: str, layouts: Sequence[tuple[str, dict[
     ``name``, ``role`` and ``status``; columns that ``df`` lacks are passed over.
     """
     table = F.create_map(*[F.lit(x) for kv in roles.items() for x in kv])
-    choices = []
-    for column, names in layouts:
-        if column not in df.columns:
-            continue
-        get = lambda x, f, names=names: x[names[f]] if names.get(f) else F.lit(None).cast("string")
-        made = F.transform(F.col(column), lambda x, get=get: F.struct(
+
+    def made(column: str, names: dict[str, str]) -> Column:
+        get = lambda x, f: x[names[f]] if names.get(f) else F.lit(None).cast("string")
+        return F.transform(F.col(column), lambda x: F.struct(
             get(x, "name").alias("name"), F.coalesce(F.element_at(table, F.lower(get(x, "role"))), get(x, "role")).alias("role"), get(x, "status").alias("status"),
         ))
-        choices.append(F.when(F.size(F.col(column)) > 0, made))
+
+    choices = [F.when(F.size(F.col(column)) > 0, made(column, names)) for column, names in layouts if column in df.columns]
     empty = F.from_json(F.lit("[]"), "array<struct<name: string, role: string, status: string>>")
     return df.select(key, F.coalesce(*choices, empty).alias(name))

@@ -213,7 +213,7 @@ class Model:
         return "\n".join(b.text for b, y in zip(found, self.decode(found)) if y)
 
 
-def fit(pages: list[list[Block]], steps: int = 150, rate: float = 0.1, decay: float = 1e-3) -> Model:
+def fit(pages: list[list[Block]], steps: int = 250, rate: float = 0.1, decay: float = 1e-4) -> Model:
     """A model from the blocks of labelled pages, by Adam on the conditional likelihood (forward-backward over all pages at once)."""
     pages = [p for p in pages if p]
     names: dict[str, int] = {}
@@ -353,8 +353,8 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
                 f"<p data-main>{sentences()}", f"<table data-main><tr><td>{words(1, 4)}</td><td>{words(1, 4)}</td></tr></table>",
                 f"<figure data-main><img><figcaption>{sentences()}</figcaption></figure>",
             ]))
-            if rng.random() < 0.12:
-                parts.append(rest(pick(["ad", "aside", "share", "notice", "form", "nav"])))
+            if rng.random() < 0.25:
+                parts.append(rest(pick(["ad", "ad", "aside", "share", "notice", "form", "nav"])))
         if rng.random() < 0.15:
             parts.append(rest(pick(["comments", "share", "footer", "aside"])))
         inner = "".join(parts)

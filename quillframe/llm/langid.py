@@ -122,8 +122,10 @@ def viterbi(scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     best = int(scores.sum(axis=0, dtype=np.float64).argmax())
     gains = scores.astype(np.float64) - scores[:, best:best + 1]
     total = np.concatenate((np.zeros((1, k)), np.cumsum(gains, axis=0)))
-    if (total - np.minimum.accumulate(total, axis=0)).max() < penalty:
-        return np.full(n, best)  # no stretch gains as much as one change costs
+    outside = np.delete(gains, best, axis=1).max(axis=1).sum()
+    if outside <= 0 and (total - np.minimum.accumulate(total, axis=0)).max() < penalty:
+        # A way without `best` loses, and a stretch in another language beside it gains less than a change costs.
+        return np.full(n, best)
     at = scores[0].astype(np.float64).tolist()
     back = []
     for row in scores[1:].tolist():

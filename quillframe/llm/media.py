@@ -134,11 +134,12 @@ def read_member(fs, archive: str, offset: int, size: int, kind: int, crc: int, r
     all attempts fail.
     """
     for attempt in range(retries + 1):
-        own = handle if attempt == 0 and handle is not None else fs.open_input_file(archive)
+        own = handle if attempt == 0 else None
         try:
+            if own is None:
+                own = fs.open_input_file(archive)
             own.seek(offset)
-            head = own.read(_LOCAL.size)
-            mark, *_, name, extra = _LOCAL.unpack(head)
+            mark, *_, name, extra = _LOCAL.unpack(own.read(_LOCAL.size))
             if mark != b"PK\x03\x04":
                 raise ValueError("no member begins here")
             own.seek(offset + _LOCAL.size + name + extra)
@@ -151,7 +152,7 @@ def read_member(fs, archive: str, offset: int, size: int, kind: int, crc: int, r
             if attempt == retries:
                 raise OSError(f"{archive} at {offset}: {e}") from e
         finally:
-            if own is not handle:
+            if own is not None and own is not handle:
                 own.close()
     raise AssertionError
 

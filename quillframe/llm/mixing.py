@@ -6,8 +6,8 @@ entropy, which are exponentially tilted odds, rate / (cap - rate) =
 exp(lambda * size). The convex dual has one multiplier for each source's word
 constraint; Newton steps, each a grouped aggregation over all sources at once
 and kept within a bracket, solve it. Rates are then rounded to whole copies by
-one threshold per source on hashed priorities, below the target, and the
-document nearest in size to what is left closes most of the gap.
+one threshold per source on hashed priorities, below the target, and a few
+documents, taken once more or less, close the gap where it is over a thousandth.
 
 Everything here is DataFrame operations. Sources are handled as rows, never
 gathered in the driver; a source that holds a third of all rows is aggregated
@@ -26,6 +26,7 @@ from ._common import partitions, written
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 _BUCKETS = 4096
+_FLIPS = 4
 _FLAT = 60.0  # exp(-60) is nothing beside 1
 
 
@@ -158,7 +159,7 @@ def _rated(sized: DataFrame, state: DataFrame, cap: float) -> DataFrame:
 
 def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFrame:
     """``state`` with, for each source, the bucket in which its words reach the target, the words left for
-    that bucket, and the document whose size is nearest to what remains after it."""
+    that bucket, and the few documents taken once more or less to close what remains after it."""
     rated = _rated(sized, state, cap)
     by = rated.groupBy("source", "bucket").agg(
         F.sum(F.col("whole") * F.col("size")).alias("w"), F.sum(F.when(F.col("order") < 1, F.col("size"))).alias("more")
@@ -181,40 +182,54 @@ def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFram
         ),
         "thresholds",
     )
-    first = _first(sized, state, cap)
-    taken = first.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("w"))
-    gaps = written(
-        taken.join(goal, F.col("source").eqNullSafe(F.col("s"))).select(F.col("source").alias("s"), (F.col("goal") - F.col("w")).alias("gap")),
-        "gaps",
-    )
-    spare = first.join(gaps, F.col("source").eqNullSafe(F.col("s"))).where(
-        (F.col("copies") == F.col("whole")) & (F.col("order") < 1) & (F.col("size") < 2 * F.col("gap"))
-    )
-    nearest = F.struct(F.abs(F.col("gap") - F.col("size")), F.col("order"))
-    last = spare.groupBy("source").agg(F.min_by(F.struct("id", "order", "size"), nearest).alias("last"))
-    last = last.withColumnRenamed("source", "s")
-    return written(state.join(last, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "thresholds")
+    flip = "struct<id: {}, order: double, size: bigint, sign: int>".format(sized.schema["id"].dataType.simpleString())
+    state = state.withColumn("flips", F.from_json(F.lit("[]"), f"array<{flip}>"))
+    for _ in range(_FLIPS):
+        first = _first(sized, state, cap)
+        taken = first.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("w"))
+        gaps = written(
+            taken.join(goal, F.col("source").eqNullSafe(F.col("s"))).select(F.col("source").alias("s"), (F.col("goal") - F.col("w")).alias("gap"), "goal")
+            .where(F.abs("gap") > F.greatest(F.lit(0.5), F.col("goal") * 1e-3)),
+            "gaps",
+        )
+        if gaps.isEmpty():
+            break
+        left = F.abs(F.col("gap") - F.col("sign") * F.col("size"))
+        best = (
+            first.where(F.col("order") < 1).withColumn("sign", F.when(F.col("copies") > F.col("whole"), -1).otherwise(1))
+            .join(gaps, F.col("source").eqNullSafe(F.col("s"))).where(left < F.abs("gap"))
+            .groupBy("source").agg(F.min_by(F.struct("id", "order", "size", "sign"), F.struct(left, "order", "id")).alias("best"))
+            .withColumnRenamed("source", "s")
+        )
+        best = written(best, "flips")
+        if best.isEmpty():
+            break
+        added = F.when(F.col("best").isNotNull(), F.concat("flips", F.array("best"))).otherwise(F.col("flips"))
+        state = written(state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("flips", added).drop("s", "best"), "thresholds")
+    return state
 
 
 def _first(sized: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     """``sized`` rated, with ``copies``: the whole part of the rate, and one more below the source's threshold."""
     rated = _rated(sized, state, cap)
-    clear = rated.where(F.col("bucket") != F.col("crossing")).withColumn(
-        "copies", (F.col("whole") + (F.col("bucket") < F.col("crossing")).cast("int")).cast("int")
+    part = F.col("order") < 1  # whole rates are settled: a source taken cap times has no document at its threshold
+    at_edge = part & (F.col("bucket") == F.col("crossing"))
+    clear = rated.where(~at_edge).withColumn(
+        "copies", (F.col("whole") + (part & (F.col("bucket") < F.col("crossing"))).cast("int")).cast("int")
     )
     w = Window.partitionBy("source").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    edge = rated.where(F.col("bucket") == F.col("crossing")).withColumn("upto", F.sum("size").over(w)).withColumn(
-        "copies", (F.col("whole") + ((F.col("order") < 1) & (F.col("upto") <= F.col("left"))).cast("int")).cast("int")
+    edge = rated.where(at_edge).withColumn("upto", F.sum("size").over(w)).withColumn(
+        "copies", (F.col("whole") + (F.col("upto") <= F.col("left")).cast("int")).cast("int")
     )
-    return clear.unionByName(edge.drop("upto"))
+    found = clear.unionByName(edge.drop("upto"))
+    hit = lambda f: f["id"].eqNullSafe(F.col("id")) & (f["order"] == F.col("order")) & (f["size"] == F.col("size"))
+    flipped = F.aggregate("flips", F.lit(0), lambda n, f: n + F.when(hit(f), f["sign"]).otherwise(0))
+    return found.withColumn("copies", F.least(F.greatest(F.col("copies") + flipped, F.col("whole")), F.col("whole") + part.cast("int")).cast("int"))
 
 
 def copies(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFrame:
     """``sized`` with total, target, rate and ``copies``."""
-    last = F.struct("id", "order", "size").eqNullSafe(F.col("last"))
-    return _first(sized, state, cap).withColumn("copies", F.col("copies") + last.cast("int")).select(
-        *sized.columns, "total", "target", "rate", "copies"
-    )
+    return _first(sized, state, cap).select(*sized.columns, "total", "target", "rate", "copies")
 
 
 def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:

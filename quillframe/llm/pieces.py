@@ -17,6 +17,7 @@ neighbours are looked up, as their encoding is the same everywhere.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -31,8 +32,8 @@ from ._common import extended, small_batches, task_id, written
 CHUNK = 1 << 15
 GIANT = 2 * CHUNK
 _SPACE = "▁"
-_MEMO = 300_000
-_PAIRS = 700_000
+_MEMO = 350_000
+_PAIRS = 500_000
 _DEAD = float("-inf")
 
 #: A state at a cut: how many characters the last piece reaches beyond it, and that piece's id where the model asks for it.
@@ -51,9 +52,19 @@ class Model:
     bpe: bool
     prefix: bool
     longest: int
-    words: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
+    words: dict[str, bytes] = field(default_factory=dict, repr=False)
     pairs: dict[int, bool] = field(default_factory=dict, repr=False)
     cut: re.Pattern | None = None
+    plain: list[str | None] = field(default_factory=list, repr=False)
+    sizes: list[int] = field(default_factory=list, repr=False)
+
+    def __post_init__(self) -> None:
+        # Lengths of pieces, in the order in which they are tried: two and three first, as most are that long.
+        self.sizes = sorted(set(map(len, self.ids)) | {1}, key=lambda n: (n not in (2, 3), n))
+        # What an id adds to a text by itself: not for bytes that are parts of a character.
+        self.plain = [t if t is None else t.replace(_SPACE, " ") for t in (x or "" for x in self.texts)]
+        for b, i in enumerate(self.bytes_):
+            self.plain[i] = chr(b) if b < 128 else None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"words": {}, "pairs": {}}
@@ -190,33 +201,49 @@ class Model:
             out.append(key if self.bpe else link)
             at, key = begin, link if self.bpe else next(iter(ends[begin]))
 
-    def word(self, text: str) -> tuple[int, ...]:
-        """Pieces of a string that shares none with its neighbours: the scan of one chunk, from its beginning to its end."""
-        n = len(text)
-        if n > CHUNK:
-            return tuple(self.ids_of(self.scan(text)))
-        if not self.bpe:
-            ends = self.forward(text, n, (0, _START))
-            return tuple(self.ids_of(self.trace(text, n, (0, _START), (0, next(iter(ends[n]))))))
-        # Of a BPE lattice from a fixed beginning each position keeps one way at most, its own prefix's encoding.
-        ids, fits, longest = self.ids.get, self.fits, self.longest
-        last: list[int] = [_START] + [0] * n
-        begin = [-1] * (n + 1)
-        for j in range(1, n + 1):
-            for i in range(max(0, j - longest), j):
-                piece = ids(text[i:j])
-                if piece is None:
-                    if j - i > 1:
+    def learn(self, words: Iterable[str]) -> None:
+        """Put the ids of strings that share no piece with their neighbours into the memo: the scan of one chunk each.
+
+        Of a BPE lattice from a fixed beginning every position keeps one way at
+        most, the encoding of the string up to there. In sorted order a string
+        takes over what it shares with the one before.
+        """
+        memo, ids, fits, pairs, many, sizes = self.words, self.ids.get, self.fits, self.pairs.get, len(self.texts), self.sizes
+        before, last, begin = "", [_START], [-1]
+        for text in sorted(words):
+            n = len(text)
+            if n > CHUNK or not self.bpe:
+                memo[text] = array("i", self.ids_of(self.scan(text))).tobytes()
+                continue
+            same, most = 0, min(n, len(before))
+            while same < most and before[same] == text[same]:
+                same += 1
+            del last[same + 1:], begin[same + 1:]
+            for j in range(same + 1, n + 1):
+                for size in sizes:
+                    i = j - size
+                    if i < 0:
                         continue
-                    piece = -1 - ord(text[i])
-                if (i == 0 or begin[i] >= 0) and (i == 0 or fits(last[i], piece)):
-                    last[j], begin[j] = piece, i
+                    piece = ids(text[i:j])
+                    if piece is None:
+                        if size > 1:
+                            continue
+                        piece = -1 - ord(text[i])
+                    if i:
+                        left = last[i]
+                        if left >= 0 and piece >= 0:
+                            fit = pairs(left * many + piece)
+                            if not (fits(left, piece) if fit is None else fit):
+                                continue
+                    last.append(piece)
+                    begin.append(i)
                     break
-        out, at = [], n
-        while at > 0:
-            out.append(last[at])
-            at = begin[at]
-        return tuple(self.ids_of(reversed(out)))
+            before, out, at = text, [], n
+            while at > 0:
+                out.append(last[at])
+                at = begin[at]
+            out.reverse()
+            memo[text] = array("i", out if min(out) >= 0 else self.ids_of(out)).tobytes()
 
     def scan(self, text: str, size: int = CHUNK) -> list[int]:
         """Pieces of a string of any length by chunks, here one after the other."""
@@ -242,27 +269,37 @@ class Model:
         text = text.replace(" ", _SPACE)
         return _SPACE + text if self.prefix and text else text
 
+    def parts(self, normal: str) -> list[str]:
+        """A normal text cut where no piece can cross."""
+        return self.cut.findall(normal) if self.cut else [normal] if normal else []
+
+    def encode_parts(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Ids of texts by their parts. What they need is learned at once; the memo keeps no very long part and is bounded."""
+        memo = self.words
+        new = set().union(*texts).difference(memo)
+        if len(memo) + len(new) > _MEMO:
+            memo.clear()
+            new = set().union(*texts)
+        self.learn(new)
+        out = [np.frombuffer(b"".join([memo[w] for w in parts]), np.int32) for parts in texts]
+        for w in [w for w in new if len(w) > 64]:
+            del memo[w]
+        return out
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text; none for a null or empty one."""
-        return self.encode_normal(self.normal(text or ""))
-
-    def encode_normal(self, text: str) -> list[int]:
-        if self.cut is None:
-            return list(self.word(text)) if text else []
-        words, out = self.words, []
-        for w in self.cut.findall(text):
-            found = words.get(w)
-            if found is None:
-                found = self.word(w)
-                if len(w) <= 64:
-                    if len(words) >= _MEMO:
-                        words.clear()
-                    words[w] = found
-            out += found
-        return out
+        return self.encode_parts([self.parts(self.normal(text or ""))])[0].tolist()
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces and bytes joined, spaces restored, the prefix taken off. ``encode`` loses nothing but the escape character itself."""
+        plain = self.plain
+        try:
+            text = "".join([plain[i] for i in ids])
+        except TypeError:
+            text = self._with_bytes(ids)
+        return text[1:] if self.prefix and text[:1] == " " else text
+
+    def _with_bytes(self, ids: list[int]) -> str:
         value = {p: b for b, p in enumerate(self.bytes_)}
         out, held = [], bytearray()
         for i in ids:
@@ -274,8 +311,7 @@ class Model:
                 held.clear()
             out.append(self.texts[i] or "")
         out.append(held.decode("utf-8", "replace"))
-        text = "".join(out).replace(_SPACE, " ")
-        return text[1:] if self.prefix and text[:1] == " " else text
+        return "".join(out).replace(_SPACE, " ")
 
 
 _START = -(1 << 30)  # no piece: the beginning of a document
@@ -359,7 +395,7 @@ def _lists(batch_ids: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
-_PIECE = 1 << 22  # ids in an Arrow batch
+_TEXTS = 1 << 19  # characters whose parts are learned at once
 
 
 def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", giant: int = GIANT, size: int = CHUNK) -> DataFrame:
@@ -379,14 +415,15 @@ def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            held, first, count = [], 0, 0
-            for i, t in enumerate(batch.column(1)):
-                held.append(np.array(model.encode(t.as_py()), np.int32))
-                count += len(held[-1])
-                if count >= _PIECE:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(held)), _lists(held)], names=["id", "ids"])
-                    held, first, count = [], i + 1, 0
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(held)), _lists(held)], names=["id", "ids"])
+            held, first, size = [], 0, 0
+            for i, text in enumerate(batch.column(1)):
+                text = text.as_py() or ""
+                held.append(model.parts(model.normal(text)))
+                size += len(text)
+                if size >= _TEXTS or i + 1 == batch.num_rows:
+                    ids = _lists(model.encode_parts(held))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(held)), ids], names=["id", "ids"])
+                    held, first, size = [], i + 1, 0
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (part, _), row = shared.value, task_id(), 0
@@ -426,7 +463,7 @@ def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             out = []
             for r in frame.itertuples():
                 if r.hard_left and r.hard_right:
-                    out.append(model.encode_normal(r.body))
+                    out.append(model.encode_parts([model.parts(r.body)])[0].tolist())
                     continue
                 start, end = tuple(map(int, r.start)), tuple(map(int, r.end))
                 text = r.body + ("" if r.hard_right else r.after)
@@ -475,7 +512,13 @@ def decode(df: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str = "
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            found = [model.decode(i for i in (ids.as_py() or ()) if i is not None) for ids in batch.column(1)]
+            lists = batch.column(1)
+            values, ends = lists.values, lists.offsets.to_numpy()
+            if lists.null_count or values.null_count:
+                found = [model.decode([i for i in ids.as_py() or () if i is not None]) for ids in lists]
+            else:
+                flat = values.to_numpy()
+                found = [model.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=[id_col, "text"])
 
     return df.select(id_col, ids_col).mapInArrow(of, extended(df, id_col, "text string"))

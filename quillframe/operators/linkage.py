@@ -13,11 +13,23 @@ from ..functions.similarity import sequence_ratio
 from ..functions.text import dates, filled, last_word, money, phonetic_code, squeezed, without_parentheses, without_particle
 
 
-def best_in_block(left: DataFrame, right: DataFrame, block: str, left_id: str, right_id: str, score: Column, least: float) -> DataFrame:
-    """Of each left row the right row of its block with the best score, at least ``least``; ties to the smaller right id."""
-    pairs = left.join(right, block).withColumn("score", score).where(F.col("score") >= least)
+def best_in_block(left: DataFrame, right: DataFrame, block: str, left_id: str, right_id: str, score: Column, least: float, bound: Column | None = None) -> DataFrame:
+    """Of each left row the right row of its block with the best score, at least ``least``; ties to the smaller right id.
+
+    ``bound``, a native expression never below ``score``, saves scoring every
+    pair: the pair of the highest bound is scored first, then only those whose
+    bound reaches that score, so the result stays that of all pairs.
+    """
+    left = left.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), left_id)
     order = Window.partitionBy(left_id).orderBy(F.desc("score"), right_id)
-    return pairs.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    if bound is None:
+        pairs = left.join(right, block).withColumn("score", score)
+    else:
+        columns = [c for c in right.columns if c != block]
+        first = left.join(right, block).groupBy(*left.columns).agg(F.max_by(F.struct(*columns), bound).alias("__r"))
+        reached = first.select(*left.columns, "__r.*").withColumn("__least", score - 1e-9).select(*left.columns, "__least")
+        pairs = reached.join(right, block).where(bound >= F.greatest("__least", F.lit(least - 1e-9))).withColumn("score", score).drop("__least")
+    return pairs.where(F.col("score") >= least).withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 
 def hungarian(scores: np.ndarray) -> list[tuple[int, int]]:
@@ -86,6 +98,17 @@ def name_similarity(a: Column, b: Column) -> Column:
     return F.when((code != "") & (code == phonetic_code(sb)), 1.0).when(sequence_ratio(sa, sb) >= 0.85, 1.0).otherwise(sequence_ratio(a, b))
 
 
+def ratio_bound(a: Column, b: Column) -> Column:
+    """Never below ``sequence_ratio`` of squeezed texts: its matching stretches are a common subsequence, so edits bound them."""
+    return 1 - F.levenshtein(a, b) / F.greatest(F.length(a) + F.length(b), F.lit(1))
+
+
+def name_bound(code: Column, other_code: Column, surname: Column, other_surname: Column, whole: Column, other_whole: Column) -> Column:
+    """Never below ``name_similarity``, from phonetic codes and squeezed surnames and names."""
+    alike = ((code != "") & (code == other_code)) | (ratio_bound(surname, other_surname) >= 0.85 - 1e-9)
+    return F.when(alike, 1.0).otherwise(ratio_bound(whole, other_whole))
+
+
 def case_score(county: Column, damages: Column, writ: Column, names: Column) -> Column:
     """0.30 county, 0.25 damages, 0.15 writ type and 0.30 party names, each 0 to 1."""
     return 0.30 * county + 0.25 * damages + 0.15 * writ + 0.30 * names

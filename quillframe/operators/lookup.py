@@ -6,8 +6,10 @@ any number of partitions; order and limit together are one top-k step.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,3 +99,41 @@ def overlay(base: DataFrame, changes: DataFrame, key: Sequence[str], column: str
     return base.join(new, list(key), "left").withColumn(
         "source", F.when(F.col("__new").isNotNull(), "changed").otherwise("original")
     ).withColumn(column, F.coalesce("__new", column)).drop("__new")
+
+
+def _blocks(df: DataFrame, key: str, vector: str, size: int, name: str) -> DataFrame:
+    """Rows packed into about ``size`` a block: (<name>_ids, <name>_flat)."""
+    n = max(1, -(-df.count() // size))
+    packed = df.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias("b")).agg(F.collect_list(F.struct(F.col(key).alias("id"), F.col(vector).alias("v"))).alias("rows"))
+    return packed.select(F.col("rows.id").alias(f"{name}_ids"), F.flatten("rows.v").alias(f"{name}_flat"))
+
+
+def nearest_by_cosine(queries: DataFrame, rows: DataFrame, key: str, vector: str, keep: int, digits: int = 6, block: int = 1024) -> DataFrame:
+    """(query, key, score, place): of every query the ``keep`` other rows with the largest cosine, rounded, ties to the smaller key.
+
+    Every query meets every row, a block of each at a time as one product of
+    matrices. A block gives what could tie with its ``keep``-th after rounding.
+    Vectors are not null; the score is null where one is zero.
+    """
+    kind = rows.schema[key].dataType.simpleString()
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                ids, flat, others, flats = (batch[c][r].values for c in ("q_ids", "q_flat", "r_ids", "r_flat"))
+                q, e = (f.to_numpy(zero_copy_only=False).astype(float).reshape(len(i), -1) for i, f in ((ids, flat), (others, flats)))
+                norms = np.outer(np.sqrt((q * q).sum(1)), np.sqrt((e * e).sum(1)))
+                s = np.divide(q @ e.T, norms, out=np.full(norms.shape, -np.inf), where=norms > 0)
+                mine, other = ids.to_numpy(zero_copy_only=False), others.to_numpy(zero_copy_only=False)
+                same = mine[:, None] == other[None, :]
+                ranked = np.where(same, -np.inf, s)
+                least = np.partition(ranked, max(0, s.shape[1] - keep), axis=1)[:, max(0, s.shape[1] - keep)] - 2 * 10.0**-digits
+                i, j = np.nonzero((ranked >= least[:, None]) & ~same)
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(i)), others.take(pa.array(j)), pa.array(s[i, j])], names=["query", key, "score"])
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = _blocks(rows, key, vector, block, "r").repartition(n).crossJoin(_blocks(queries, key, vector, block, "q"))
+    found = pairs.mapInArrow(of, f"query {kind}, `{key}` {kind}, score double")
+    scored = found.withColumn("score", F.when(F.col("score") > float("-inf"), F.round("score", digits)))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), key))
+    return scored.withColumn("place", place).where(F.col("place") <= keep)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity
 from ..functions.text import last_word, levenshtein_similarity, phonetic_code, squeezed
-from ..operators import corpus, linkage, resolve, stats
+from ..operators import corpus, linkage, lookup, resolve, stats
 from ..session import table as t
 from ..sources.readers import html_entries, layout_names
 from ..streaming import events
@@ -147,6 +147,13 @@ def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     return scored.withColumn("place", place).where("place <= 3").select("query", "vec_id", "score", F.col("place").cast("long").alias("place"))
 
 
+def cosine_topk_all(spark: SparkSession, d: str) -> DataFrame:
+    """The three nearest of all vectors to every vector whose id 20 divides."""
+    e = t(spark, d, "embeddings").where("embedding IS NOT NULL").select("vec_id", "embedding")
+    near = lookup.nearest_by_cosine(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", 3)
+    return near.withColumn("place", F.col("place").cast("long"))
+
+
 def confusion_matrix(spark: SparkSession, d: str) -> DataFrame:
     pairs = t(spark, d, "part").select(F.col("p_name").alias("a"), F.translate("p_name", "e", "c").alias("b"))
     return stats.confusion(pairs, "a", "b")
@@ -199,6 +206,7 @@ CATALOGUE = {
     "palaeographic_distance": (palaeographic_distance, None),
     "entity_positions": (entity_positions, None),
     "cosine_topk": (cosine_topk, "WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), s AS (SELECT q.vec_id AS query, e.vec_id, round(list_cosine_similarity(q.v, e.v), 6) AS score FROM e q JOIN e ON q.label = e.label AND q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0) SELECT query, vec_id, score, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM s QUALIFY place <= 3"),
+    "cosine_topk_all": (cosine_topk_all, "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings WHERE embedding IS NOT NULL), s AS (SELECT q.vec_id AS query, e.vec_id, round(list_cosine_similarity(q.v, e.v), 6) AS score FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 20 = 0) SELECT query, vec_id, score, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM s QUALIFY place <= 3"),
     "confusion_matrix": (confusion_matrix, "WITH c AS (SELECT unnest(string_split(p_name, '')) AS truth_char FROM part) SELECT truth_char, CASE WHEN truth_char = 'e' THEN 'c' ELSE truth_char END AS read_char, count(*) AS n FROM c GROUP BY 1, 2"),
     "confusion_profile": (confusion_profile, "WITH c AS (SELECT unnest(string_split(p_name, '')) AS truth_char FROM part) SELECT truth_char, count(*) AS total, CAST(0.0 AS DOUBLE) AS accuracy FROM c WHERE truth_char = 'e' GROUP BY 1 HAVING count(*) >= 3"),
     "html_entry_parse": (html_entry_parse, "SELECT page_id, regexp_extract(html, '<html[^>]*lang=\"([a-z]+)\"', 1) AS lang, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS items FROM pages"),

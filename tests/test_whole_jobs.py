@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,3 +31,16 @@ def test_best_in_block_with_a_bound_equals_all_pairs(spark):
     assert a.join(b, "block").where(bound < score - 1e-9).count() == 0
     found = [{(r.i, r.j, r.score) for r in linkage.best_in_block(a, b, "block", "i", "j", score, 0.3, x).collect()} for x in (None, bound)]
     assert found[0] == found[1] and len(found[0]) > 30
+
+
+def test_cosine_search_takes_every_twentieth_vector_against_all(spark, sf):
+    got = plans.queries()["cosine_topk_all"](spark, sf).collect()
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
+    label, v = dict(zip(e.vec_id, e.label)), np.stack(e.embedding).astype(float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    want = {}
+    for q in [i for i, k in enumerate(e.vec_id) if k % 20 == 0]:
+        scores = sorted((-round(float(v[q] @ v[j]), 6), int(e.vec_id[j])) for j in range(len(v)) if j != q)[:3]
+        want[int(e.vec_id[q])] = [k for _, k in scores]
+    assert {q: [r.vec_id for r in sorted(got, key=lambda r: r.place) if r.query == q] for q in want} == want
+    assert len(got) == 3 * len(want) and any(label[r.query] != label[r.vec_id] for r in got)

@@ -1,12 +1,14 @@
-"""Licence scans: header lines and licence files against templates, then directories.
+"""Licence scans: headers and licence files against templates, then directories.
 
-Every line of every text is compared with the lines of known licences by the
-cosine of their TF-IDF vectors. A file's licence is that of its best line. A
-file of which such lines are a large share is a licence file, and gives its
-licence to its directory; files without a licence of their own take that of the
-nearest directory above them that has one.
+Every line, every paragraph, the leading comment and the whole of every text
+are compared with lines, paragraphs and full texts of known licences by the
+cosine of their TF-IDF vectors. A file's licence is that of its best part. A
+file whose whole text is near enough to a template, or of which licence lines
+are a large share, is a licence file, and gives its licence to its directory;
+files without a licence of their own take that of the nearest directory above
+them that has one.
 
-Everything is DataFrame operations. Equal lines are compared once however many
+Everything is DataFrame operations. Equal parts are compared once however many
 files share them, and directories inherit before files do, so neither a
 widespread line nor a crowded directory gathers in one task.
 """
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from importlib.resources import files as packaged
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +57,42 @@ TEMPLATES = (
     ("Proprietary", "Copyright. All rights reserved."),
 )
 
+_NOTICE = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} General Public License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version.",
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} General Public License for more details.",
+    "You should have received a copy of the GNU {0} General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+)
+_GNU = (("GPL-3.0", "", "3"), ("GPL-2.0", "", "2"), ("LGPL-3.0", "Lesser", "3"), ("LGPL-2.1", "Lesser", "2.1"), ("AGPL-3.0", "Affero", "3"))
+_APACHE = (
+    "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+)
+_FULL = ("MIT", "BSD-3-Clause", "BSD-2-Clause", "ISC", "Apache-2.0", "GPL-3.0", "GPL-2.0", "LGPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0")
+
+
+def _full(name: str) -> str:
+    return (packaged(__package__) / "licence_texts" / f"{name}.txt").read_text(encoding="utf-8")
+
+
+def _first_paragraph(name: str) -> str:
+    return _full(name).split("\n\n")[0]
+
+
+# Titles, notices in file headers, opening paragraphs and full texts.
+BLOCKS = (
+    ("MIT", "MIT License"), ("MIT", "The MIT License (MIT)"), ("ISC", "ISC License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("GPL-2.0", "GNU General Public License, Version 2, June 1991"), ("LGPL-2.1", "GNU Lesser General Public License, Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License, Version 3, 29 June 2007"), ("LGPL-3.0", "GNU Lesser General Public License"),
+    ("AGPL-3.0", "GNU Affero General Public License, Version 3, 19 November 2007"), ("AGPL-3.0", "GNU Affero General Public License"),
+    *((name, _NOTICE[0].format(kind, version)) for name, kind, version in _GNU),
+    *((name, " ".join(_NOTICE[:2]).format(kind, version)) for name, kind, version in _GNU),
+    *((name, " ".join(_NOTICE).format(kind, version)) for name, kind, version in _GNU),
+    ("Apache-2.0", _APACHE[0]), ("Apache-2.0", " ".join(_APACHE)),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    *((name, _first_paragraph(name)) for name in ("MIT", "ISC")),
+    *((name, _full(name)) for name in _FULL),
+)
+
 TERM = "[a-z0-9]+"
 
 
@@ -73,52 +112,94 @@ def idf(df: DataFrame, text_col: str, vocabulary: list[str]) -> tuple[dict[str,
     return {w: weight(counts.get(w, 0)) for w in vocabulary}, weight(min(n, 1))
 
 
-def anchors(vectors: list[dict[str, float]], threshold: float) -> set[str]:
-    """Terms of which a line must have one to reach the threshold with a template.
+def anchors(vectors: list[dict[str, float]], threshold: float, weights: dict[str, float] | None = None) -> set[str]:
+    """Terms of which a text must have one to reach the threshold with a template.
 
-    The lightest terms of a template that alone cannot reach it are left out:
-    a line with none but those has a cosine of at most their length over the
-    template's.
+    A text with none but the other terms has a cosine of at most their length
+    over the template's. The lightest terms are left out; with ``weights``
+    those that are commonest in the corpus.
     """
     found: set[str] = set()
     for v in vectors:
         whole, light = sum(x * x for x in v.values()), 0.0
-        for term, x in sorted(v.items(), key=lambda e: (e[1], e[0])):
+        for term, x in sorted(v.items(), key=lambda e: (weights[e[0]] if weights else e[1], e[0])):
             light += x * x
             if light >= (threshold**2 - 1e-9) * whole:
                 found.add(term)
     return found
 
 
+def one_of(words: set[str]) -> str:
+    """A pattern of any of the words, their common beginnings tried once."""
+    heads: dict[str, set[str]] = {}
+    for w in words:
+        heads.setdefault(w[:1], set()).add(w[1:])
+    ends = heads.pop("", None) is not None
+    each = [h + one_of(rest) for h, rest in sorted(heads.items())]
+    if not each:
+        return ""
+    return f"(?:{'|'.join(each)})" + ("?" if ends else "") if len(each) > 1 or ends else each[0]
+
+
+class _Templates:
+    """Templates weighted by a corpus."""
+
+    def __init__(self, df: DataFrame, text_col: str, lines: tuple, threshold: float, rare: bool) -> None:
+        bags: list[dict[str, int]] = []
+        for _, line in lines:
+            bag: dict[str, int] = {}
+            for t in re.findall(TERM, line.lower()):
+                bag[t] = bag.get(t, 0) + 1
+            bags.append(bag)
+        self.lines, self.threshold = lines, threshold
+        self.weights, self.other = idf(df, text_col, sorted({t for b in bags for t in b}))
+        self.vectors = [{t: n * self.weights[t] for t, n in b.items()} for b in bags]
+        self.anchor = f"(?<![a-z0-9]){one_of(anchors(self.vectors, threshold, self.weights if rare else None))}(?![a-z0-9])"
+
+    def has(self, text: Column) -> Column:
+        return F.lower(text).rlike(self.anchor)
+
+    def match(self, parts: DataFrame, key: str, text: str) -> DataFrame:
+        """(key, licence, score) of the parts that reach the threshold; the best template, on a tie the first."""
+        spark = parts.sparkSession
+        each = parts.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+        known = spark.createDataFrame(sorted(self.weights.items()), "term string, idf double")
+        each = each.join(F.broadcast(known), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(self.other)))
+        unit = [
+            (i, t, x / math.sqrt(sum(y * y for y in v.values()))) for i, v in enumerate(self.vectors) for t, x in sorted(v.items())
+        ]
+        sides = spark.createDataFrame(unit, "template int, term string, y double")
+        dots = each.join(F.broadcast(sides), "term").groupBy(key, "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+        norms = each.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+        names = spark.createDataFrame([(i, name) for i, (name, _) in enumerate(self.lines)], "template int, licence string")
+        score = F.round(F.least(F.lit(1.0), F.col("dot") / F.col("norm")), 9)
+        best = dots.join(norms, key).withColumn("score", score).where(F.col("score") >= self.threshold).groupBy(key).agg(
+            F.max_by(F.struct("template", "score"), F.struct("score", -F.col("template"))).alias("best")
+        )
+        return best.select(key, "best.template", "best.score").join(F.broadcast(names), "template").select(key, "licence", "score")
+
+
 def scan_lines(df: DataFrame, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
     """(line, licence, score) of every distinct line of ``df``'s texts that states a licence; the best one, on a tie the first template."""
-    spark = df.sparkSession
-    bags: list[dict[str, int]] = []
-    for _, line in TEMPLATES:
-        bag: dict[str, int] = {}
-        for t in re.findall(TERM, line.lower()):
-            bag[t] = bag.get(t, 0) + 1
-        bags.append(bag)
-    weights, other = idf(df, text_col, sorted({t for b in bags for t in b}))
-    vectors = [{t: n * weights[t] for t, n in b.items()} for b in bags]
-    any_of = "|".join(sorted(anchors(vectors, threshold)))
-    has = F.lower("line").rlike(f"(?<![a-z0-9])(?:{any_of})(?![a-z0-9])")
-    lines = written(df.select(F.explode(F.split(text_col, r"\r\n|\r|\n")).alias("line")).where(has).distinct(), "lines")
-    each = lines.select("line", F.explode(terms(F.col("line"))).alias("term")).groupBy("line", "term").agg(F.count(F.lit(1)).alias("tf"))
-    known = spark.createDataFrame(sorted(weights.items()), "term string, idf double")
-    each = each.join(F.broadcast(known), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    unit = [
-        (i, t, x / math.sqrt(sum(y * y for y in v.values()))) for i, v in enumerate(vectors) for t, x in sorted(v.items())
-    ]
-    sides = spark.createDataFrame(unit, "template int, term string, y double")
-    dots = each.join(F.broadcast(sides), "term").groupBy("line", "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
-    norms = each.groupBy("line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    names = spark.createDataFrame([(i, name) for i, (name, _) in enumerate(TEMPLATES)], "template int, licence string")
-    score = F.round(F.least(F.lit(1.0), F.col("dot") / F.col("norm")), 9)
-    best = dots.join(norms, "line").withColumn("score", score).where(F.col("score") >= threshold).groupBy("line").agg(
-        F.max_by(F.struct("template", "score"), F.struct("score", -F.col("template"))).alias("best")
+    known = _Templates(df, text_col, TEMPLATES, threshold, rare=False)
+    lines = df.select(F.explode(F.split(text_col, r"\r\n|\r|\n")).alias("line")).where(known.has(F.col("line"))).distinct()
+    return known.match(written(lines, "lines"), "line", "line")
+
+
+COMMENT = r"^\s*(?:#|//|/\*|\*|--|;|%|<!--|\.\.|\"\"\"|'''|dnl\b|rem\b|$)"
+
+
+def parts_of(text: Column) -> Column:
+    """Lines, paragraphs, the leading comment and the whole of a text, as structs (kind, part)."""
+    plain = F.regexp_replace(text, r"\r\n?", "\n")
+    lines = F.split(plain, "\n")
+    code = F.array_position(F.transform(lines, lambda x: F.lower(x).rlike(COMMENT)), F.lit(False))
+    header = F.array_join(F.slice(lines, F.lit(1), F.when(code == 0, F.size(lines)).otherwise(code - 1).cast("int")), "\n")
+    as_parts = lambda kind, parts: F.transform(parts, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("part")))
+    return F.concat(
+        as_parts("line", F.array_distinct(lines)), as_parts("paragraph", F.array_distinct(F.split(plain, "\n[^A-Za-z0-9]*\n"))),
+        as_parts("header", F.array(header)), as_parts("whole", F.array(plain)),
     )
-    return best.select("line", "best.template", "best.score").join(F.broadcast(names), "template").select("line", "licence", "score")
 
 
 def scan(
@@ -136,14 +217,18 @@ def scan(
     # Texts are named by their hash: equal texts state the same licence.
     files = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), path.alias("path"))
     files = files.withColumn("key", F.xxhash64("t"))
-    known = written(scan_lines(df.select(F.col(text_col).alias("t")), "t", threshold), "licence-lines")
-    lines = files.where(F.col("t").isNotNull()).select("key", F.size(terms(F.col("t"))).alias("words"), F.explode(F.array_distinct(F.split("t", r"\r\n|\r|\n"))).alias("line"))
-    hits = lines.join(known, "line").select("key", "words", "line", "licence", "score").distinct()
+    known = _Templates(df, text_col, TEMPLATES + BLOCKS, threshold, rare=True)
+    texts = files.where(known.has(F.col("t"))).select("key", "t").dropDuplicates(["key"])
+    parts = texts.select("key", F.size(terms(F.col("t"))).alias("words"), F.explode(parts_of(F.col("t"))).alias("p")).select("key", "words", "p.kind", "p.part")
+    parts = written(parts.where(known.has(F.col("part"))).withColumn("name", F.xxhash64("part")), "licence-parts")
+    stated = written(known.match(parts.select("name", "part").dropDuplicates(["name"]), "name", "part"), "licence-matches")
+    hits = parts.select("key", "words", "kind", "name", F.size(terms(F.col("part"))).alias("size")).join(stated, "name")
     own = hits.groupBy("key").agg(
         F.min_by(F.struct("licence", "score"), F.struct(-F.col("score"), F.col("licence"))).alias("best"),
-        F.max("words").alias("words"), F.sum(F.size(terms(F.col("line")))).alias("stated"),
+        F.max("words").alias("words"), F.sum(F.when(F.col("kind") == "line", F.col("size")).otherwise(0)).alias("stated"),
+        F.max(F.col("kind") == "whole").alias("near"),
     )
-    own = written(own.select("key", "best.licence", "best.score", (F.col("stated") >= file_share * F.col("words")).alias("whole")), "own")
+    own = written(own.select("key", "best.licence", "best.score", (F.col("near") | (F.col("stated") >= file_share * F.col("words"))).alias("whole")), "own")
     marked = written(
         files.select("id", "path", "key", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir")).join(own, "key", "left").drop("key"), "files"
     )

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillframe import plans
+from quillframe.llm import licences
 from quillframe.functions.text import last_word, levenshtein_similarity, phonetic_code, squeezed
 from quillframe.operators import linkage
 
@@ -44,3 +45,21 @@ def test_cosine_search_takes_every_twentieth_vector_against_all(spark, sf):
         want[int(e.vec_id[q])] = [k for _, k in scores]
     assert {q: [r.vec_id for r in sorted(got, key=lambda r: r.place) if r.query == q] for q in want} == want
     assert len(got) == 3 * len(want) and any(label[r.query] != label[r.vec_id] for r in got)
+
+
+def test_licence_headers_and_files_are_compared_whole(spark):
+    full = lambda name: licences._full(name)
+    body = "\n".join(f"value{i} = compute{i}(alpha, beta)" for i in range(40))
+    comment = lambda text: "\n".join(f"# {x}".rstrip() for x in text.split("\n"))
+    gpl = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 Ann Other\n\n" + full("MIT"), "m/LICENSE"), (2, body, "m/src/x"),
+        (3, comment(gpl) + "\n\n" + body, "g/x"), (4, body, "g/y"), (5, comment(bsd) + "\n\n" + body, "b/x"),
+        (6, full("GPL-3.0"), "p/COPYING"), (7, body, "p/q/x"), (8, "GNU LESSER GENERAL PUBLIC LICENSE\n\n" + body, "l/x"), (9, full("Apache-2.0").replace("\n", "\r\n"), "a/LICENSE"), (10, body, "a/x"),
+    ]
+    got = {r.id: (r.licence, r.origin) for r in licences.scan(spark.createDataFrame(rows, "id long, text string, path string"), "id", "text", F.col("path")).collect()}
+    assert got == {
+        1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-2.0", "own"), 4: (None, "none"), 5: ("BSD-3-Clause", "own"),
+        6: ("GPL-3.0", "own"), 7: ("GPL-3.0", "inherited"), 8: ("LGPL-3.0", "own"), 9: ("Apache-2.0", "own"), 10: ("Apache-2.0", "inherited"),
+    }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import symbol_ngrams
@@ -113,7 +113,63 @@ def ngram_occurrences(spark: SparkSession, d: str) -> DataFrame:
     return grams.join(wanted, "gram").withColumn("place", place).where("place <= 3").select("gram", "p_partkey")
 
 
+def _symbols(spark: SparkSession, d: str) -> DataFrame:
+    """Documents' symbols as a column, so that a run is a slice of it and a long text is not cut anew for each."""
+    return t(spark, d, "documents").select("doc_id", F.regexp_extract_all("text", F.lit("(<[^>]*>|[^ ])"), F.lit(1)).alias("s"))
+
+
+def _runs(n: int) -> Column:
+    starts = F.when(F.size("s") >= n, F.sequence(F.lit(1), F.greatest(F.size("s") - n + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice("s", i, n), ""))
+
+
+def document_char_ngrams(spark: SparkSession, d: str) -> DataFrame:
+    """Letter n-grams of all documents up to five long."""
+    rows = _symbols(spark, d)
+    each = [rows.select(F.lit(n).cast("long").alias("length"), F.explode(_runs(n)).alias("ngram")) for n in range(1, 6)]
+    grams = each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3]).unionByName(each[4])
+    return grams.groupBy("length", "ngram").agg(F.count(F.lit(1)).alias("n")).where("n >= 20")
+
+
+def _document_words(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.tokens(t(spark, d, "documents"), "doc_id", "text", "[a-z]+")
+
+
+def document_transitions(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.transitions(_document_words(spark, d), "doc_id", "pos", "token", state=2)
+
+
+def document_bigrams(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.ngram_model(_document_words(spark, d), "doc_id", "pos", "token").withColumn("log_prob", F.round("log_prob", 9))
+
+
+def _document_classes(spark: SparkSession, d: str):
+    words = _document_words(spark, d)
+    lasts = words.groupBy("doc_id").agg(F.max_by("token", "pos").alias("token")).select("token").distinct()
+    return [("first", words.where("pos = 0").select("token").distinct()), ("last", lasts)]
+
+
+def document_placeholders(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with words that begin some document as one class, words that end one as another."""
+    drop = spark.createDataFrame([("the",), ("of",)], "token string")
+    marked = corpus.classify(_document_words(spark, d), "token", _document_classes(spark, d), drop)
+    return corpus.substituted_text(marked, "doc_id", "pos", "token")
+
+
+def document_placeholder_counts(spark: SparkSession, d: str) -> DataFrame:
+    marked = corpus.classify(_document_words(spark, d), "token", list(reversed(_document_classes(spark, d))))
+    return marked.where("class IS NOT NULL").groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+
+
+def document_ngram_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    """All documents that have a letter trigram of part names, for each trigram."""
+    wanted = t(spark, d, "part").select(F.explode(F.array_distinct(symbol_ngrams(F.col("p_name"), 3))).alias("gram")).distinct()
+    grams = _symbols(spark, d).select("doc_id", F.explode(F.array_distinct(_runs(3))).alias("gram"))
+    return grams.join(wanted, "gram").select("gram", "doc_id")
+
+
 _W = "w AS (SELECT p_partkey, unnest(regexp_extract_all(lower(p_name), '[a-z]+')) AS token, generate_subscripts(regexp_extract_all(lower(p_name), '[a-z]+'), 1) - 1 AS pos FROM part)"
+_D = _W.replace("p_partkey", "doc_id").replace("p_name", "text").replace("FROM part", "FROM documents") + ", f AS (SELECT DISTINCT token AS t FROM w WHERE pos = 0), l AS (SELECT DISTINCT arg_max(token, pos) AS t FROM w GROUP BY doc_id)"
 
 CATALOGUE = {
     "char_freq": (char_freq, "WITH x AS (SELECT unnest(string_split(text, '')) AS char FROM documents) SELECT char, count(*) AS n FROM x WHERE char <> '' GROUP BY 1"),
@@ -133,4 +189,9 @@ CATALOGUE = {
     "replication_copies": (replication_copies, "WITH s AS (SELECT n_nationkey, unnest(string_split(n_name, '')) AS c FROM nation), t AS (SELECT c, least(CAST(ceil(60.0 / count(*)) AS BIGINT), 64) AS k FROM s GROUP BY 1) SELECT n_nationkey, max(k) AS copies FROM s JOIN t USING (c) GROUP BY 1"),
     "training_lines": (training_lines, "SELECT p_partkey FROM part WHERE length(p_name) >= 4 AND regexp_matches(p_name, '^[ &''\\-;A-Za-z]*$') AND 1 - levenshtein(replace(p_name, 'e', 'c'), p_name) / CAST(length(p_name) AS DOUBLE) >= CAST(0.9 AS DOUBLE)"),
     "ngram_occurrences": (ngram_occurrences, "WITH a AS (SELECT replace(lower(n_name), ' ', '') AS s FROM nation), w AS (SELECT DISTINCT unnest(list_transform(range(1, greatest(length(s) - 1, 1)), lambda i: substr(s, i, 3))) AS gram FROM a), b AS (SELECT p_partkey, replace(p_name, ' ', '') AS s FROM part), g AS (SELECT DISTINCT p_partkey, unnest(list_transform(range(1, greatest(length(s) - 1, 1)), lambda i: substr(s, i, 3))) AS gram FROM b) SELECT gram, p_partkey FROM g JOIN w USING (gram) QUALIFY row_number() OVER (PARTITION BY gram ORDER BY p_partkey) <= 3"),
+    "document_char_ngrams": (document_char_ngrams, None),
+    "document_transitions": (document_transitions, f"WITH {_D}, e AS (SELECT doc_id, pos, token FROM w UNION ALL SELECT doc_id, max(pos) + 1, '</s>' FROM w GROUP BY 1), s AS (SELECT token, coalesce(lag(token, 2) OVER o, '<s>') || ' ' || coalesce(lag(token, 1) OVER o, '<s>') AS state FROM e WINDOW o AS (PARTITION BY doc_id ORDER BY pos)) SELECT state, token AS next, count(*) AS n FROM s GROUP BY 1, 2"),
+    "document_bigrams": (document_bigrams, f"WITH {_D}, p AS (SELECT token AS first, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS second FROM w), c AS (SELECT first, second, count(*) AS n FROM p WHERE second IS NOT NULL GROUP BY 1, 2) SELECT first, second, n, round(log10(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY first)), 9) AS log_prob FROM c"),
+    "document_placeholders": (document_placeholders, f"WITH {_D}, c AS (SELECT doc_id, pos, token, CASE WHEN token IN ('the', 'of') THEN NULL WHEN token IN (SELECT t FROM f) THEN 'first' WHEN token IN (SELECT t FROM l) THEN 'last' END AS class FROM w) SELECT doc_id, string_agg(coalesce('<' || class || '>', token), ' ' ORDER BY pos) AS text, count(class) AS replaced FROM c GROUP BY 1"),
+    "document_placeholder_counts": (document_placeholder_counts, f"WITH {_D}, c AS (SELECT CASE WHEN token IN (SELECT t FROM l) THEN 'last' WHEN token IN (SELECT t FROM f) THEN 'first' END AS class FROM w) SELECT class, count(*) AS n FROM c WHERE class IS NOT NULL GROUP BY 1"),
 }

@@ -25,47 +25,80 @@ def _vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return words.where("term <> ''").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _misread(spark: SparkSession, d: str) -> DataFrame:
+def _lexicon(spark: SparkSession, d: str) -> DataFrame:
+    """The words of all documents."""
+    words = corpus.tokens(t(spark, d, "documents"), "doc_id", "text", "[a-z]+")
+    return words.groupBy(F.col("token").alias("term")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _misread(spark: SparkSession, d: str, vocabulary=_vocabulary) -> DataFrame:
     """Nation names' and terms' spellings with a letter changed or left out."""
-    v = _vocabulary(spark, d)
+    v = vocabulary(spark, d)
     changed = v.select(F.translate("term", "aeo", "eoa").alias("word"))
     shorter = v.select(F.expr("concat(left(term, 2), substring(term, 4))").alias("word"))
     return changed.unionByName(shorter).where("word <> ''").distinct()
 
 
-def _candidates(spark: SparkSession, d: str) -> DataFrame:
-    return resolve.edit_candidates(_misread(spark, d), "word", resolve.delete_keys(_vocabulary(spark, d), "term"), "term")
+def _candidates(spark: SparkSession, d: str, vocabulary=_vocabulary) -> DataFrame:
+    return resolve.edit_candidates(_misread(spark, d, vocabulary), "word", resolve.delete_keys(vocabulary(spark, d), "term"), "term")
 
 
 def delete_neighbourhood_join(spark: SparkSession, d: str) -> DataFrame:
     return _candidates(spark, d).select("word", "term", F.col("distance").cast("long").alias("distance"))
 
 
-def _scored(spark: SparkSession, d: str) -> DataFrame:
-    v = _vocabulary(spark, d)
+def document_delete_join(spark: SparkSession, d: str) -> DataFrame:
+    """Misread words of all documents with the words within their edits."""
+    return _candidates(spark, d, _lexicon).select("word", "term", F.col("distance").cast("long").alias("distance"))
+
+
+def _scored(spark: SparkSession, d: str, vocabulary=_vocabulary) -> DataFrame:
+    v = vocabulary(spark, d)
     sums = v.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).first()
-    near = resolve.nearest_terms(_candidates(spark, d), "word", "term", "n", 50)
+    near = resolve.nearest_terms(_candidates(spark, d, vocabulary), "word", "term", "n", 50)
     return resolve.select_best(
         near, "word", "term", "n", original=F.col("term") == F.col("word"), total=sums["total"] or 0, kinds=sums["kinds"]
     )
 
 
+def _bayes(scored: DataFrame) -> DataFrame:
+    rounded = [F.round(c, 9).alias(c) for c in ("log_prior", "score", "probability")]
+    return scored.select("word", "term", F.col("distance").cast("long").alias("distance"), *rounded, F.col("rank").cast("long").alias("rank"))
+
+
 def bayes_select(spark: SparkSession, d: str) -> DataFrame:
     """Misread words with every candidate's score and probability."""
-    rounded = [F.round(c, 9).alias(c) for c in ("log_prior", "score", "probability")]
-    return _scored(spark, d).select("word", "term", F.col("distance").cast("long").alias("distance"), *rounded, F.col("rank").cast("long").alias("rank"))
+    return _bayes(_scored(spark, d))
 
 
-def lowconf_topalts(spark: SparkSession, d: str) -> DataFrame:
-    low = resolve.low_confidence(_scored(spark, d), "word", "term")
+def document_bayes_select(spark: SparkSession, d: str) -> DataFrame:
+    return _bayes(_scored(spark, d, _lexicon))
+
+
+def _unsure(scored: DataFrame) -> DataFrame:
+    low = resolve.low_confidence(scored, "word", "term")
     return low.select("word", "best", F.round("probability", 9).alias("probability"), F.array_join("others", ",").alias("others"))
 
 
+def lowconf_topalts(spark: SparkSession, d: str) -> DataFrame:
+    return _unsure(_scored(spark, d))
+
+
+def document_lowconf_topalts(spark: SparkSession, d: str) -> DataFrame:
+    return _unsure(_scored(spark, d, _lexicon))
+
+
 def nearest_fifty(spark: SparkSession, d: str) -> DataFrame:
+    """The two nearest terms; fifty are kept by document_nearest_terms."""
     near = resolve.nearest_terms(_candidates(spark, d), "word", "term", "n", 2)
     return near.select("word", "term", F.col("place").cast("long").alias("place"))
 
 
+def document_nearest_terms(spark: SparkSession, d: str) -> DataFrame:
+    near = resolve.nearest_terms(_candidates(spark, d, _lexicon), "word", "term", "n", 50)
+    return near.select("word", "term", F.col("place").cast("long").alias("place"))
+
+
 def applied_corrections(spark: SparkSession, d: str) -> DataFrame:
     """Every part's name with its first two words put right by a list of pairs."""
     pairs = F.array(F.struct(F.substring_index("p_name", " ", 1).alias("original"), F.lit("A").alias("corrected")), F.struct(F.lit(" ").alias("original"), F.lit("_").alias("corrected")))
@@ -209,6 +242,7 @@ CATALOGUE = {
     "nearest_terms": (nearest_fifty, f"WITH {_V} SELECT word, term, place FROM k WHERE place <= 2"),
     "bayes_select": (bayes_select, f"WITH {_S} SELECT word, term, distance, round(log_prior, 9) AS log_prior, round(score, 9) AS score, round(probability, 9) AS probability, rank FROM r"),
     "lowconf_topalts": (lowconf_topalts, f"WITH {_S} SELECT word, max(term) FILTER (rank = 1) AS best, round(max(probability) FILTER (rank = 1), 9) AS probability, coalesce(string_agg(term, ',' ORDER BY rank) FILTER (rank BETWEEN 2 AND 4), '') AS others FROM r GROUP BY 1 HAVING max(probability) FILTER (rank = 1) < CAST(0.9 AS DOUBLE)"),
+    **{q.__name__: (q, None) for q in (document_delete_join, document_bayes_select, document_lowconf_topalts)},
     "applied_corrections": (applied_corrections, "SELECT p_partkey, replace(replace(p_name, split_part(p_name, ' ', 1), 'A'), ' ', '_') AS text FROM part"),
     "case_match_blocked": (case_match_blocked, None),
     "assign_hungarian": (assign_hungarian, None),

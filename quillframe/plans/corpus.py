@@ -194,4 +194,5 @@ CATALOGUE = {
     "document_bigrams": (document_bigrams, f"WITH {_D}, p AS (SELECT token AS first, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS second FROM w), c AS (SELECT first, second, count(*) AS n FROM p WHERE second IS NOT NULL GROUP BY 1, 2) SELECT first, second, n, round(log10(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY first)), 9) AS log_prob FROM c"),
     "document_placeholders": (document_placeholders, f"WITH {_D}, c AS (SELECT doc_id, pos, token, CASE WHEN token IN ('the', 'of') THEN NULL WHEN token IN (SELECT t FROM f) THEN 'first' WHEN token IN (SELECT t FROM l) THEN 'last' END AS class FROM w) SELECT doc_id, string_agg(coalesce('<' || class || '>', token), ' ' ORDER BY pos) AS text, count(class) AS replaced FROM c GROUP BY 1"),
     "document_placeholder_counts": (document_placeholder_counts, f"WITH {_D}, c AS (SELECT CASE WHEN token IN (SELECT t FROM l) THEN 'last' WHEN token IN (SELECT t FROM f) THEN 'first' END AS class FROM w) SELECT class, count(*) AS n FROM c WHERE class IS NOT NULL GROUP BY 1"),
+    "document_ngram_occurrences": (document_ngram_occurrences, None),
 }

@@ -242,7 +242,7 @@ CATALOGUE = {
     "nearest_terms": (nearest_fifty, f"WITH {_V} SELECT word, term, place FROM k WHERE place <= 2"),
     "bayes_select": (bayes_select, f"WITH {_S} SELECT word, term, distance, round(log_prior, 9) AS log_prior, round(score, 9) AS score, round(probability, 9) AS probability, rank FROM r"),
     "lowconf_topalts": (lowconf_topalts, f"WITH {_S} SELECT word, max(term) FILTER (rank = 1) AS best, round(max(probability) FILTER (rank = 1), 9) AS probability, coalesce(string_agg(term, ',' ORDER BY rank) FILTER (rank BETWEEN 2 AND 4), '') AS others FROM r GROUP BY 1 HAVING max(probability) FILTER (rank = 1) < CAST(0.9 AS DOUBLE)"),
-    **{q.__name__: (q, None) for q in (document_delete_join, document_bayes_select, document_lowconf_topalts)},
+    **{q.__name__: (q, None) for q in (document_delete_join, document_nearest_terms, document_bayes_select, document_lowconf_topalts)},
     "applied_corrections": (applied_corrections, "SELECT p_partkey, replace(replace(p_name, split_part(p_name, ' ', 1), 'A'), ' ', '_') AS text FROM part"),
     "case_match_blocked": (case_match_blocked, None),
     "assign_hungarian": (assign_hungarian, None),

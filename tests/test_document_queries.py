@@ -1,15 +1,47 @@
 """The corpus and dictionary queries over the documents' text."""
 
-from collections import Counter
+from collections import Counter, defaultdict
 import re
 
 from quillframe import plans
 
 
+def test_nearest_terms_come_from_the_documents_and_fifty_are_kept(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas().text
+    n = Counter(w for text in docs for w in re.findall("[a-z]+", text.lower()))
+    got = defaultdict(dict)
+    for r in plans.queries()["document_nearest_terms"](spark, sf).collect():
+        got[r.word][r.place] = r.term
+    assert max(map(len, got.values())) > 2 and all(t in n for p in got.values() for t in p.values())
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            above, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                above, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, above + (x != y))
+        return row[-1]
+
+    longest = max(got, key=lambda w: (len(got[w]), w))
+    for word in sorted(got)[:: len(got) // 3][:3] + [longest]:
+        limit = 0 if len(word) <= 3 else 1 if len(word) <= 5 else 2
+        near = sorted((edits(word, t), -k, t) for t, k in n.items() if abs(len(t) - len(word)) <= limit)
+        assert [got[word][p] for p in sorted(got[word])] == [t for e, _, t in near if e <= limit][:50]
+
+
 def symbols(text):
     return re.findall("<[^>]*>|[^ ]", text)
 
 
+def test_searched_trigrams_occur_and_are_not_cut_at_three(spark, sf):
+    got = {(r.gram, r.doc_id) for r in plans.queries()["document_ngram_occurrences"](spark, sf).collect()}
+    runs = lambda text: {"".join(s[i:i + 3]) for s in [symbols(text)] for i in range(len(s) - 2)}
+    wanted = {g for name in spark.read.parquet(f"{sf}/part.parquet").toPandas().p_name for g in runs(name)}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
+    assert got == {(g, k) for k, text in zip(docs.doc_id, docs.text) for g in runs(text) & wanted}
+    assert max(Counter(g for g, _ in got).values()) > 3
+
+
 def test_letter_ngrams_of_documents_up_to_five(spark, sf):
     got = {(r.length, r.ngram): r.n for r in plans.queries()["document_char_ngrams"](spark, sf).collect()}
     want = Counter()

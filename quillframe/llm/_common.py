@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+T = TypeVar("T")
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -47,12 +51,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def _bytes(setting: str) -> int:
+    """Bytes of a Spark size such as ``64m`` or ``67108864b``; without a unit it counts bytes."""
+    digits, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", setting.strip().lower()).groups()
+    return int(digits) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(unit[:1], 0)
+
+
 def small_batches(spark: SparkSession, limit: str = "16m") -> None:
     """Bound the bytes of an Arrow batch, so very long texts do not pile up in a Python worker.
 
-    Spark's own setting of this session, where it is larger than ``limit``, is lowered.
+    Spark's own setting of this session is lowered where it is larger than
+    ``limit`` or unbounded (not positive), and never raised.
     """
-    spark.conf.set(_BATCH_BYTES, limit)
+    now = spark.conf.get(_BATCH_BYTES, None)
+    if now is None or not 0 < _bytes(now) <= _bytes(limit):
+        spark.conf.set(_BATCH_BYTES, limit)
+
+
+def forgotten(found: Iterator[T], forget: Callable[[], None]) -> Iterator[T]:
+    """``found``, and then ``forget``, also if the task fails or ends early: workers are reused, and what one operator looked up must not weigh on the next."""
+    try:
+        yield from found
+    finally:
+        forget()
 
 
 def file_system(uri: str):

@@ -10,8 +10,12 @@ states at its left edge to those at its right one; matrices combine
 associatively under max and plus; and once the state at each cut is known every
 chunk traces its own pieces back.
 
-Short documents are one chunk, and words that cannot share a piece with their
-neighbours are looked up, as their encoding is the same everywhere.
+Chunks have a fixed number of characters and are cut wherever that ends, within
+words too. Matrices are combined in groups of bounded size, groups of groups
+and so on up to whole documents, and the states handed down the same way. Short
+documents are one chunk. Inside a chunk, stretches that no piece enters or
+leaves are looked up, as their encoding is the same everywhere; a chunk's
+matrix is then a column up to the first such place times a row from the last.
 """
 
 from __future__ import annotations
@@ -20,20 +24,23 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import compress
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import extended, small_batches, task_id, written
+from ._common import extended, forgotten, small_batches, task_id, written
 
-CHUNK = 1 << 15
+CHUNK = 1 << 14
 GIANT = 2 * CHUNK
+FAN = 64
 _SPACE = "▁"
-_MEMO = 350_000
-_PAIRS = 500_000
+_MEMO, _MEMO_WORD = 250_000, 48  # strings in the memo, some 220 bytes each with their ids, and characters of one
+_PAIRS = 300_000  # some 100 bytes each
 _DEAD = float("-inf")
 
 #: A state at a cut: how many characters the last piece reaches beyond it, and that piece's id where the model asks for it.
@@ -55,19 +62,19 @@ class Model:
     words: dict[str, bytes] = field(default_factory=dict, repr=False)
     pairs: dict[int, bool] = field(default_factory=dict, repr=False)
     cut: re.Pattern | None = None
-    plain: list[str | None] = field(default_factory=list, repr=False)
     sizes: list[int] = field(default_factory=list, repr=False)
+    plain: pa.BinaryArray | None = field(default=None, repr=False)
 
     def __post_init__(self) -> None:
         # Lengths of pieces, in the order in which they are tried: two and three first, as most are that long.
         self.sizes = sorted(set(map(len, self.ids)) | {1}, key=lambda n: (n not in (2, 3), n))
-        # What an id adds to a text by itself: not for bytes that are parts of a character.
-        self.plain = [t if t is None else t.replace(_SPACE, " ") for t in (x or "" for x in self.texts)]
-        for b, i in enumerate(self.bytes_):
-            self.plain[i] = chr(b) if b < 128 else None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"words": {}, "pairs": {}}
+        return self.__dict__ | {"words": {}, "pairs": {}, "plain": None}
+
+    def forget(self) -> None:
+        """Drop what was looked up."""
+        self.words, self.pairs, self.plain = {}, {}, None
 
     @classmethod
     def load(cls, path: str) -> Model:
@@ -176,8 +183,20 @@ class Model:
                     found[(j - at, piece if self.bpe else 0)] = None
         return list(found)
 
-    def matrix(self, text: str, size: int, starts: Iterable[State]) -> dict[State, dict[State, float]]:
-        """Best weights from the states at a chunk's left edge to those at its right edge, where there is a way."""
+    def hard(self, body: str) -> tuple[int, int] | None:
+        """The first and the last place in a chunk that no piece crosses, or None."""
+        if self.cut is None:
+            return None
+        first = next((m.start() + 1 for m in _EDGE.finditer(body)), None)
+        if first is None:
+            return None
+        last = body.rfind(_SPACE)
+        while body[last - 1] == _SPACE:
+            last -= 1
+        return first, last
+
+    def ways(self, text: str, size: int, starts: Iterable[State]) -> dict[State, dict[State, float]]:
+        """Best weights from states at the beginning of ``text[:size]`` to those at its end, where there is a way, piece by piece."""
         out, first = {}, None
         for start in starts:
             if start[0] >= size:
@@ -188,11 +207,39 @@ class Model:
             first = first or ends
         return out
 
+    def matrix(self, text: str, size: int, starts: Iterable[State]) -> dict[State, dict[State, float]]:
+        """Best weights from the states at a chunk's left edge to those at its right edge, where there is a way.
+
+        At a place that no piece crosses all ways meet, and what follows does
+        not depend on what came before.
+        """
+        cuts = self.hard(text[:size])
+        if cuts is None:
+            return self.ways(text, size, starts)
+        first, last = cuts
+        column = {s: max(row.values()) for s, row in self.ways(text[:first], first, starts).items() if row}
+        middle = 0.0 if self.bpe or first == last else max(self.ways(text[first:last], last - first, [(0, _START)])[0, _START].values())
+        row = self.ways(text[last:], size - last, [(0, _START)])[0, _START]
+        return {s: {end: x + middle + y for end, y in row.items()} for s, x in column.items()}
+
     def trace(self, text: str, size: int, start: State, end: State) -> list[int]:
-        """The pieces that begin in a chunk, on the best way from one edge state to the other."""
+        """The ids of the pieces that begin in a chunk, on the best way from one edge state to the other."""
+        cuts = self.hard(text[:size])
+        if cuts is None:
+            return list(self.ids_of(self.back(text, size, start, end)))
+        first, last = cuts
+        out = list(self.ids_of(self.back(text[:first], first, start, None)))
+        out += self.encode_parts([self.parts(text[first:last])])[0].tolist()
+        out += self.ids_of(self.back(text[last:], size - last, (0, _START), end))
+        return out
+
+    def back(self, text: str, size: int, start: State, end: State | None) -> list[int]:
+        """The pieces on the best way from one state to the other; no ``end`` is the best one at ``size`` exactly."""
         if start[0] >= size:
             return []
         ends = self.forward(text, size, start)
+        if end is None:
+            end = (0, max(ends[size], key=lambda k: ends[size][k][0]))
         at, key, out = size + end[0], end[1], []
         while True:
             total, begin, link = ends[at][key]
@@ -201,19 +248,20 @@ class Model:
             out.append(key if self.bpe else link)
             at, key = begin, link if self.bpe else next(iter(ends[begin]))
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Put the ids of strings that share no piece with their neighbours into the memo: the scan of one chunk each.
+    def learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The packed ids of strings that share no piece with their neighbours: the lattice of one chunk each.
 
         Of a BPE lattice from a fixed beginning every position keeps one way at
         most, the encoding of the string up to there. In sorted order a string
         takes over what it shares with the one before.
         """
-        memo, ids, fits, pairs, many, sizes = self.words, self.ids.get, self.fits, self.pairs.get, len(self.texts), self.sizes
+        ids, fits, pairs, many, sizes = self.ids.get, self.fits, self.pairs.get, len(self.texts), self.sizes
+        found: dict[str, bytes] = {}
         before, last, begin = "", [_START], [-1]
         for text in sorted(words):
             n = len(text)
             if n > CHUNK or not self.bpe:
-                memo[text] = array("i", self.ids_of(self.scan(text))).tobytes()
+                found[text] = array("i", self.scan(text)).tobytes()
                 continue
             same, most = 0, min(n, len(before))
             while same < most and before[same] == text[same]:
@@ -243,15 +291,14 @@ class Model:
                 out.append(last[at])
                 at = begin[at]
             out.reverse()
-            memo[text] = array("i", out if min(out) >= 0 else self.ids_of(out)).tobytes()
+            found[text] = array("i", out if min(out) >= 0 else self.ids_of(out)).tobytes()
+        return found
 
     def scan(self, text: str, size: int = CHUNK) -> list[int]:
-        """Pieces of a string of any length by chunks, here one after the other."""
-        cuts = list(range(0, len(text), size))
-        chunks = [(text[max(0, c - self.longest):c], text[c:c + size], text[c + size:c + size + self.longest]) for c in cuts]
-        tables = [chunk_matrix(self, *chunk) for chunk in chunks]
-        states = walk(tables)
-        return [p for (_, body, after), a, b in zip(chunks, states, states[1:]) for p in self.trace(body + after, len(body), a, b)]
+        """Ids of a normal text of any length by chunks, here one after the other."""
+        parts = list(chunks(self, text, size))
+        states = walk([chunk_matrix(self, *part) for part in parts])
+        return [i for (_, body, after), a, b in zip(parts, states, states[1:]) for i in self.trace(body + after, len(body), a, b)]
 
     def ids_of(self, pieces: Iterable[int]) -> Iterator[int]:
         """Ids for pieces; an unknown character becomes its bytes where the model has them."""
@@ -274,46 +321,51 @@ class Model:
         return self.cut.findall(normal) if self.cut else [normal] if normal else []
 
     def encode_parts(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Ids of texts by their parts. What they need is learned at once; the memo keeps no very long part and is bounded."""
+        """Ids of texts by their parts. What no earlier text needed is learned at once; the memo keeps no very long part and a bounded number."""
         memo = self.words
-        new = set().union(*texts).difference(memo)
-        if len(memo) + len(new) > _MEMO:
-            memo.clear()
-            new = set().union(*texts)
-        self.learn(new)
-        out = [np.frombuffer(b"".join([memo[w] for w in parts]), np.int32) for parts in texts]
-        for w in [w for w in new if len(w) > 64]:
-            del memo[w]
+        flat = [w for parts in texts for w in parts]
+        got = list(map(memo.get, flat))
+        if None in got:
+            new = self.learn(set(compress(flat, [g is None for g in got])))
+            got = [new[w] if g is None else g for w, g in zip(flat, got)]
+            if len(memo) + len(new) > _MEMO:
+                memo.clear()
+            if len(new) <= _MEMO:
+                memo.update((w, x) for w, x in new.items() if len(w) <= _MEMO_WORD)
+        out, at = [], 0
+        for parts in texts:
+            out.append(np.frombuffer(b"".join(got[at:at + len(parts)]), np.int32))
+            at += len(parts)
         return out
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text; none for a null or empty one."""
         return self.encode_parts([self.parts(self.normal(text or ""))])[0].tolist()
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of lists of ids, which follow each other in ``ids`` and stop at ``ends``.
+
+        Pieces and bytes are joined, spaces restored, the prefix taken off, and
+        bytes that are no UTF-8 replaced. An id outside the vocabulary is a ValueError.
+        """
+        if len(ids) and not 0 <= ids.min() <= ids.max() < len(self.texts):
+            raise ValueError("an id is outside the vocabulary")
+        if self.plain is None:
+            value = {p: bytes([b]) for b, p in enumerate(self.bytes_)}
+            self.plain = pa.array([value.get(i, (t or "").replace(_SPACE, " ").encode("utf-8", "surrogatepass")) for i, t in enumerate(self.texts)], pa.large_binary())
+        joined = pc.take(self.plain, pa.array(ids, pa.int32()))
+        offsets = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset:][: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        raw = joined.buffers()[2].to_pybytes() if len(ids) else b""
+        cuts = offsets[np.concatenate(([0], ends))].tolist()
+        drop = int(self.prefix)
+        return [raw[a + drop if raw[a:a + drop] == b" " and a < b else a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+
     def decode(self, ids: list[int]) -> str:
-        """The text of ids: pieces and bytes joined, spaces restored, the prefix taken off. ``encode`` loses nothing but the escape character itself."""
-        plain = self.plain
-        try:
-            text = "".join([plain[i] for i in ids])
-        except TypeError:
-            text = self._with_bytes(ids)
-        return text[1:] if self.prefix and text[:1] == " " else text
-
-    def _with_bytes(self, ids: list[int]) -> str:
-        value = {p: b for b, p in enumerate(self.bytes_)}
-        out, held = [], bytearray()
-        for i in ids:
-            if i in value:
-                held.append(value[i])
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held.clear()
-            out.append(self.texts[i] or "")
-        out.append(held.decode("utf-8", "replace"))
-        return "".join(out).replace(_SPACE, " ")
+        """The text of ids. ``encode`` loses nothing but the escape character itself."""
+        return self.decode_all(np.array(ids, np.int32), np.array([len(ids)]))[0]
 
 
+_EDGE = re.compile(f"[^{_SPACE}](?={_SPACE})")
 _START = -(1 << 30)  # no piece: the beginning of a document
 
 
@@ -350,17 +402,19 @@ def combine(a: dict[State, dict[State, float]], b: dict[State, dict[State, float
     return out
 
 
-def walk(tables: list[dict[State, dict[State, float]]]) -> list[State]:
-    """The best path's state at every cut of a document, both ends included, from its chunks' matrices.
+def walk(tables: list[dict[State, dict[State, float]]], start: State | None = None, end: State | None = None) -> list[State]:
+    """The best path's state at every cut of a stretch, both ends included, from its chunks' matrices.
 
-    Products up to each cut give the best weights; the way back picks at each
-    cut the state from which the one after it is reached with just that weight.
+    Without ``start`` the stretch begins its document, without ``end`` it ends
+    it. Products up to each cut give the best weights; the way back picks at
+    each cut the state from which the one after it is reached with just that.
     """
-    upto = [{(0, _START): {(0, _START): 0.0}}]
+    start = start or (0, _START)
+    totals = [{start: 0.0}]
     for t in tables:
-        upto.append(combine(upto[-1], t))
-    totals = [next(iter(m.values())) for m in upto]
-    end = max((s for s in totals[-1] if s[0] == 0), key=lambda s: totals[-1][s])
+        totals.append(combine({start: totals[-1]}, t)[start])
+    if end is None:
+        end = max((s for s in totals[-1] if s[0] == 0), key=lambda s: totals[-1][s])
     states = [end]
     for total, table in zip(reversed(totals[:-1]), reversed(tables)):
         states.append(max((s for s in total if states[-1] in table.get(s, {})), key=lambda s: total[s] + table[s][states[-1]]))
@@ -370,23 +424,10 @@ def walk(tables: list[dict[State, dict[State, float]]]) -> list[State]:
 # DataFrames.
 
 
-def chunks(model: Model, text: str, size: int = CHUNK) -> Iterator[tuple[str, str, str, bool, bool]]:
-    """(before, body, after, hard_left, hard_right) of the chunks of a normal text.
-
-    A cut falls where no piece can cross if the last half of a chunk has such a
-    place; that edge is hard, and one state, the beginning's, stands for all.
-    """
-    at, hard, n = 0, True, len(text)
-    while at < n:
-        end, hard_end = min(n, at + size), at + size >= n
-        if not hard_end and model.cut is not None:
-            space = text.rfind(_SPACE, at + size // 2, end)
-            while space > at and text[space - 1] == _SPACE:
-                space -= 1
-            if space > at:
-                end, hard_end = space, True
-        yield text[max(0, at - model.longest):at], text[at:end], text[end:end + model.longest], hard, hard_end
-        at, hard = end, hard_end
+def chunks(model: Model, text: str, size: int = CHUNK) -> Iterator[tuple[str, str, str]]:
+    """(before, body, after) of the chunks of a normal text: ``size`` characters each, with as many around them as the longest piece has."""
+    for at in range(0, len(text), size):
+        yield text[max(0, at - model.longest):at], text[at:at + size], text[at + size:at + size + model.longest]
 
 
 def _lists(batch_ids: list[np.ndarray]) -> pa.Array:
@@ -395,22 +436,27 @@ def _lists(batch_ids: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
-_TEXTS = 1 << 19  # characters whose parts are learned at once
+_TEXTS = 1 << 20  # characters whose parts are learned at once
 
 
-def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", giant: int = GIANT, size: int = CHUNK) -> DataFrame:
-    """(id_col, ids array<int>) for every row of ``df``; no ids for a null or empty text.
+def encode(
+    df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", giant: int = GIANT, size: int = CHUNK, fan: int = FAN,
+    with_text: bool = False,
+) -> DataFrame:
+    """(id_col, ids array<int>[, text]) for every row of ``df``; no ids for a null or empty text.
 
-    Texts of over ``giant`` characters are cut into chunks whose matrices are
-    made in parallel, combined per document, and traced back in parallel.
-    Repeated rows each get a row; other columns are ignored; an empty table
-    gives an empty one.
+    Texts of over ``giant`` characters are cut into chunks of ``size`` whose
+    matrices are made in parallel, combined ``fan`` at a time in as many levels
+    as the longest document needs, and traced back in parallel. ``with_text``
+    adds the text that the ids decode to. Repeated rows each get a row; other
+    columns are ignored; an empty table gives an empty one.
     """
     spark = df.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     large = F.coalesce(F.length("t"), F.lit(0)) > giant
+    names = ["id", "ids", "text"] if with_text else ["id", "ids"]
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -421,8 +467,10 @@ def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 held.append(model.parts(model.normal(text)))
                 size += len(text)
                 if size >= _TEXTS or i + 1 == batch.num_rows:
-                    ids = _lists(model.encode_parts(held))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(held)), ids], names=["id", "ids"])
+                    columns = [batch.column(0).slice(first, len(held)), _lists(model.encode_parts(held))]
+                    if with_text:
+                        columns.append(_decoded(model, columns[1]))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
                     held, first, size = [], i + 1, 0
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,66 +478,74 @@ def encode(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1)):
                 row += 1
-                for i, (before, body, after, left, right) in enumerate(chunks(model, model.normal(text.as_py()), size)):
+                for i, (before, body, after) in enumerate(chunks(model, model.normal(text.as_py()), size)):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([key.as_py()], batch.column(0).type), pa.array([f"{part}-{row}"]), *map(pa.array, ([i], [before], [body], [after], [left], [right]))],
-                        names=["id", "doc", "at", "before", "body", "after", "hard_left", "hard_right"],
+                        [pa.array([key.as_py()], batch.column(0).type), pa.array([f"{part}-{row}"]), *map(pa.array, ([i], [before], [body], [after]))],
+                        names=["id", "doc", "place", "before", "body", "after"],
                     )
 
     def matrices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for frame in frames:
-            out = []
-            for r in frame.itertuples():
-                if r.hard_left and r.hard_right:
-                    table = {(0, _START): {(0, _START): 0.0}}
-                else:
-                    table = chunk_matrix(model, "" if r.hard_left else r.before, r.body, "" if r.hard_right else r.after)
-                    if r.hard_right:
-                        table = {s: {(0, _START): max(v for e, v in row.items() if e[0] == 0)} for s, row in table.items() if any(e[0] == 0 for e in row)}
-                out.append(_packed(table))
-            yield pd.DataFrame({"doc": frame.doc, "at": frame.at_, "matrix": out})
-
-    def states(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("at")
-        found = walk([_unpacked(m) for m in frame.matrix])
-        return pd.DataFrame({
-            "doc": frame.doc, "at": frame["at"], "start": [list(s) for s in found[:-1]], "end": [list(s) for s in found[1:]],
-        })
+            found = [_packed(chunk_matrix(model, *part)) for part in zip(frame.before, frame.body, frame.after)]
+            yield pd.DataFrame({"doc": frame.doc, "place": frame.place, "matrix": found})
 
     def traced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for frame in frames:
-            out = []
-            for r in frame.itertuples():
-                if r.hard_left and r.hard_right:
-                    out.append(model.encode_parts([model.parts(r.body)])[0].tolist())
-                    continue
-                start, end = tuple(map(int, r.start)), tuple(map(int, r.end))
-                text = r.body + ("" if r.hard_right else r.after)
-                if r.hard_right:
-                    ends = model.forward(text, len(r.body), start)[len(r.body)]
-                    end = (0, max(ends, key=lambda k: ends[k][0]))
-                out.append(list(model.ids_of(model.trace(text, len(r.body), start, end))))
-            yield pd.DataFrame({"id": frame.id, "doc": frame.doc, "at": frame.at_, "ids": out})
-
-    short = texts.where(~large).mapInArrow(whole, extended(df, id_col, "ids array<int>", "id"))
+            found = [
+                model.trace(body + after, len(body), tuple(map(int, start)), tuple(map(int, end)))
+                for body, after, start, end in zip(frame.body, frame.after, frame.start, frame.end)
+            ]
+            yield pd.DataFrame({"id": frame.id, "doc": frame.doc, "place": frame.place, "ids": found})
+
+    def forgetting(work):  # noqa: ANN001, ANN202
+        return lambda batches: forgotten(work(batches), lambda: shared.value.forget())
+
+    short = texts.where(~large).mapInArrow(forgetting(whole), extended(df, id_col, "ids array<int>" + ", text string" * with_text, "id"))
     parts = written(
-        texts.where(large).mapInArrow(
-            split, extended(df, id_col, "doc string, at long, before string, body string, after string, hard_left boolean, hard_right boolean", "id")
-        ),
-        "chunks",
+        texts.where(large).mapInArrow(split, extended(df, id_col, "doc string, place long, before string, body string, after string", "id")), "chunks"
     )
     if not parts.isEmpty():
-        named = parts.withColumnRenamed("at", "at_")
-        tables = named.select("doc", "at_", "before", "body", "after", "hard_left", "hard_right").mapInPandas(matrices, "doc string, at long, matrix binary")
-        found = tables.groupBy("doc").applyInPandas(states, "doc string, at long, start array<long>, end array<long>")
-        joined = named.join(found.withColumnRenamed("at", "at_"), ["doc", "at_"])
-        ids = joined.mapInPandas(traced, extended(df, id_col, "doc string, at long, ids array<int>", "id"))
-        short = short.unionByName(
-            ids.groupBy("doc", "id").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("all")).select("id", F.flatten("all.ids").alias("ids"))
-        )
-    return short.select(F.col("id").alias(id_col), "ids")
+        tables = written(parts.select("doc", "place", "before", "body", "after").mapInPandas(forgetting(matrices), "doc string, place long, matrix binary"), "matrices")
+        joined = parts.join(_states(tables, fan), ["doc", "place"])
+        ids = joined.mapInPandas(forgetting(traced), extended(df, id_col, "doc string, place long, ids array<int>", "id"))
+        ids = ids.groupBy("doc", "id").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("all")).select("id", F.flatten("all.ids").alias("ids"))
+        if with_text:
+            ids = ids.mapInArrow(_decoder(shared, ["id", "ids", "text"]), extended(df, id_col, "ids array<int>, text string", "id"))
+        short = short.unionByName(ids)
+    return short.select(F.col("id").alias(id_col), *names[1:])
+
+
+def _states(tables: DataFrame, fan: int) -> DataFrame:
+    """(doc, place, start, end) of every chunk: matrices are combined ``fan`` at a time, level by level, and states handed down."""
+    edge = "start array<long>, end array<long>"
+
+    def product(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("place")
+        whole = _unpacked(frame.matrix.iat[0])
+        for raw in frame.matrix.iloc[1:]:
+            whole = combine(whole, _unpacked(raw))
+        return pd.DataFrame({"doc": [frame.doc.iat[0]], "place": [int(frame.place.iat[0]) // fan], "matrix": [_packed(whole)]})
+
+    def inner(frame: pd.DataFrame, start: State | None, end: State | None) -> pd.DataFrame:
+        frame = frame.sort_values("place")
+        found = walk([_unpacked(m) for m in frame.matrix], start, end)
+        return pd.DataFrame({"doc": frame.doc, "place": frame.place, "start": [list(s) for s in found[:-1]], "end": [list(s) for s in found[1:]]})
+
+    def below(frame: pd.DataFrame) -> pd.DataFrame:
+        return inner(frame, tuple(map(int, frame.start.iat[0])), tuple(map(int, frame.end.iat[0])))
+
+    levels = [tables]
+    while levels[-1].agg(F.max("place")).first()[0] >= fan:
+        groups = levels[-1].groupBy("doc", F.floor(F.col("place") / fan).alias("group"))
+        levels.append(written(groups.applyInPandas(product, "doc string, place long, matrix binary"), "matrices"))
+    found = levels.pop().groupBy("doc").applyInPandas(lambda frame: inner(frame, None, None), f"doc string, place long, {edge}")
+    while levels:
+        up = found.select("doc", F.col("place").alias("group"), "start", "end")
+        members = levels.pop().withColumn("group", F.floor(F.col("place") / fan)).join(up, ["doc", "group"])
+        found = members.groupBy("doc", "group").applyInPandas(below, f"doc string, place long, {edge}")
+    return found
 
 
 def _packed(table: dict[State, dict[State, float]]) -> bytes:
@@ -504,21 +560,33 @@ def _unpacked(raw: bytes) -> dict[State, dict[State, float]]:
     return table
 
 
-def decode(df: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(id_col, text) for every row of ``df``; an empty text for null or no ids. Null ids in a list are passed over."""
-    small_batches(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+def _decoded(model: Model, lists: pa.ListArray) -> pa.Array:
+    """Texts of lists of ids; null lists and null ids in them count as none."""
+    if lists.null_count or lists.values.null_count:
+        lists = pa.array([[i for i in ids.as_py() or () if i is not None] for ids in lists], pa.list_(pa.int32()))
+    offsets = lists.offsets.to_numpy()
+    flat = lists.values.to_numpy()[offsets[0]:offsets[-1]]
+    return pa.array(model.decode_all(flat, offsets[1:] - offsets[0]), pa.string())
+
+
+def _decoder(shared, names: list[str]):  # noqa: ANN001, ANN202
+    """A function of Arrow batches that puts the texts of the last column's ids behind the columns before ``names[-1]``."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            lists = batch.column(1)
-            values, ends = lists.values, lists.offsets.to_numpy()
-            if lists.null_count or values.null_count:
-                found = [model.decode([i for i in ids.as_py() or () if i is not None]) for ids in lists]
-            else:
-                flat = values.to_numpy()
-                found = [model.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=[id_col, "text"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(names) - 1], _decoded(shared.value, part.columns[-1])], names=names)
+
+    return of
+
 
+def decode(df: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(id_col, text) for every row of ``df``; an empty text for null or no ids.
+
+    Null ids in a list are passed over, an id outside the vocabulary raises a
+    ValueError. Repeated rows each get a row; an empty table gives an empty one.
+    """
+    small_batches(df.sparkSession)
+    of = _decoder(df.sparkSession.sparkContext.broadcast(model), [id_col, "text"])
     return df.select(id_col, ids_col).mapInArrow(of, extended(df, id_col, "text string"))

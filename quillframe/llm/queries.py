@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, html_crf, langid, licences, media, mixing, pieces, simhash, toxicity, warc
-from ._common import packed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,25 +66,30 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(_table(spark, sf_dir, "pages"), "page_id", "url", "html", min_bytes=0)
 
 
-#: A SentencePiece model file, or an empty name for the public 32k BPE model of this machine's vocabulary files.
-PIECES = ""
+#: The session's setting that names a SentencePiece model file; where it is unset, the installed public 32k BPE model.
+PIECES = "spark.quillframe.pieceModel"
 
 
-def piece_model(path: str = PIECES) -> pieces.Model:
+def piece_model(spark: SparkSession) -> pieces.Model:
+    path = spark.conf.get(PIECES, None)
     if not path:
-        import public_tokenizers
-
+        try:
+            import public_tokenizers
+        except ImportError as e:
+            raise ValueError(f"set {PIECES} to a SentencePiece model file") from e
         path = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.Model.load(path)
 
 
+def token_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256) of all ``documents``."""
+    found = pieces.encode(documents, piece_model(spark), "doc_id", "text", with_text=True)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all texts, and the digest of the text that they decode to."""
-    model = piece_model()
-    found = pieces.encode(_table(spark, sf_dir, "documents"), model, "doc_id", "text")
-    return pieces.decode(packed(found, "ids"), model, "row", "ids").select(
-        "row.doc_id", F.size("row.ids").cast("long").alias("n_tokens"), "row.ids", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")
-    )
+    return token_rows(spark, _table(spark, sf_dir, "documents"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -343,8 +343,8 @@ def test_toxicity_held_out(spark):
 
 
 @pytest.fixture(scope="module")
-def bpe():
-    return queries.piece_model()
+def bpe(spark):
+    return queries.piece_model(spark)
 
 
 def test_pieces_equal_the_library(bpe):
@@ -364,7 +364,7 @@ def test_pieces_equal_the_library(bpe):
     for x in texts[-60:]:
         for size in (1, 5, 13):
             n = bpe.normal(x)
-            assert list(bpe.ids_of(bpe.scan(n, size) if n else [])) == lib.encode(x)
+            assert bpe.scan(n, size) == lib.encode(x)
 
 
 def test_matrices_combine_associatively(bpe):
@@ -398,18 +398,54 @@ def test_unigram_scan_is_the_best_segmentation():
             assert sum(m.weight(p) for p in got) == pytest.approx(brute(s)[0])
 
 
+def test_chunk_matrices_equal_those_made_piece_by_piece(bpe):
+    import random
+
+    rng = random.Random(8)
+    text = bpe.normal("".join(rng.choice(["the", "quick", " ", "  ", "fox", "\n", "wörd", "😀", "ation"]) for _ in range(400)))
+    several = 0
+    for before, body, after in pieces.chunks(bpe, text, 61):
+        starts = bpe.entries(before + body + after, len(before)) if before else [(0, pieces._START)]
+        whole = {s: row for s, row in bpe.ways(body + after, len(body), starts).items() if row}
+        assert bpe.matrix(body + after, len(body), starts) == whole
+        several += len(starts) > 1 and len({e for row in whole.values() for e in row}) > 1
+    assert several > 10
+
+
 def test_encode_tables(spark, bpe):
-    rows = [*ODD, (8, "x" * 5000, "s"), (9, "ab" * 3000, "s")]
-    got = pieces.encode(docs_table(spark, rows), bpe, giant=2000, size=700)
-    want = Counter((i, tuple(bpe.encode(t))) for i, t, _ in rows)
-    assert Counter((r.doc_id, tuple(r.ids)) for r in got.collect()) == want
+    import public_tokenizers
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    giant = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy(F.length("text").desc()).first().text
+    rows = [*ODD, (8, "x" * 5000, "s"), (9, "ab" * 3000, "s"), (10, giant, "s"), (10, giant, "s"), (11, " \n" * 4000, "s")]
+    for fan in (2, 64):  # levels of matrices of matrices
+        got = pieces.encode(docs_table(spark, rows), bpe, giant=2000, size=700, fan=fan, with_text=True)
+        table = got.collect()
+        assert Counter((r.doc_id, tuple(r.ids)) for r in table) == Counter((i, tuple(lib.encode(t or ""))) for i, t, _ in rows)
+        assert Counter((r.doc_id, r.text) for r in table) == Counter((i, t or "") for i, t, _ in rows)
     back = Counter((r.doc_id, r.text) for r in pieces.decode(got, bpe).collect())
     assert back == Counter((i, t or "") for i, t, _ in rows)
     odd = spark.createDataFrame([(1, None), (2, []), (3, [None, 13])], "doc_id long, ids array<int>")
     assert pieces.decode(odd, bpe).count() == 3
+    for wrong in (-1, 10**6):
+        with pytest.raises(Exception, match="outside the vocabulary"):
+            pieces.decode(spark.createDataFrame([(1, [wrong])], "doc_id long, ids array<int>"), bpe).collect()
     assert pieces.encode(docs_table(spark, []), bpe).count() == 0
 
 
+def test_sentencepiece_query(spark, sf):
+    import public_tokenizers
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    text = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.op8_sentencepiece(spark, sf).collect()
+    assert len(got) == len(text)
+    for r in got:
+        assert r.ids == lib.encode(text[r.doc_id]) and r.n_tokens == len(r.ids) and r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
+
+
 # --- nearest neighbours
 
 

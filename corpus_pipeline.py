@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import langid, mixing, pieces, simhash, toxicity
+from quillframe.llm import langid, mixing, simhash, toxicity
 from quillframe.llm._common import packed, written
-from quillframe.llm.queries import fold, piece_model
+from quillframe.llm.queries import fold, token_rows
 
 #: Below this share of letters with certainty in one language a text has no language of its own.
 LANGUAGE_SCORE = 0.25
@@ -49,11 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): token ids, and the digest of the text that they decode to."""
-    model = piece_model()
-    found = pieces.encode(docs, model, "doc_id", "text")
-    return pieces.decode(packed(found, "ids"), model, "row", "ids").select(
-        "row.doc_id", F.size("row.ids").cast("long").alias("n_tokens"), "row.ids", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256")
-    )
+    return token_rows(spark, docs)
 
 
 STAGES = [

@@ -6,8 +6,9 @@ entropy, which are exponentially tilted odds, rate / (cap - rate) =
 exp(lambda * size). The convex dual has one multiplier for each source's word
 constraint; Newton steps, each a grouped aggregation over all sources at once
 and kept within a bracket, solve it. Rates are then rounded to whole copies by
-one threshold per source on hashed priorities, below the target, and a few
-documents, taken once more or less, close the gap where it is over a thousandth.
+one threshold per source on hashed priorities, below the target, and single
+documents, taken once more or less, close the gap until it is at most a
+thousandth or no document makes it smaller.
 
 Everything here is DataFrame operations. Sources are handled as rows, never
 gathered in the driver; a source that holds a third of all rows is aggregated
@@ -26,7 +27,6 @@ from ._common import partitions, written
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 _BUCKETS = 4096
-_FLIPS = 4
 _FLAT = 60.0  # exp(-60) is nothing beside 1
 
 
@@ -157,9 +157,14 @@ def _rated(sized: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     return found.withColumn("bucket", F.floor(F.col("order") * _BUCKETS))
 
 
+def _key() -> Column:
+    """What orders the documents of a bucket; equal keys are taken together."""
+    return F.struct("order", "id", "size")
+
+
 def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFrame:
-    """``state`` with, for each source, the bucket in which its words reach the target, the words left for
-    that bucket, and the few documents taken once more or less to close what remains after it."""
+    """``state`` with, for each source, the bucket in which its words reach the target, the last document of
+    that bucket that still fits, and the documents taken once more or less to close what remains after it."""
     rated = _rated(sized, state, cap)
     by = rated.groupBy("source", "bucket").agg(
         F.sum(F.col("whole") * F.col("size")).alias("w"), F.sum(F.when(F.col("order") < 1, F.col("size"))).alias("more")
@@ -176,15 +181,17 @@ def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFram
         .groupBy("source").agg(F.min_by(F.struct("bucket", (F.col("goal") - F.col("reached") + F.col("more")).alias("left")), "bucket").alias("x"))
         .select(F.col("source").alias("s"), F.col("x.bucket").alias("crossing"), F.col("x.left").alias("left"))
     )
-    state = written(
-        state.join(crossed, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn(
-            "crossing", F.coalesce("crossing", F.lit(_BUCKETS + 1))
-        ),
-        "thresholds",
+    state = state.join(crossed, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn("crossing", F.coalesce("crossing", F.lit(_BUCKETS + 1)))
+    edge = _rated(sized, state, cap).where((F.col("order") < 1) & (F.col("bucket") == F.col("crossing")))
+    sofar = w.orderBy("order", "id", "size").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    cuts = (
+        edge.withColumn("upto", F.sum("size").over(sofar)).where(F.col("upto") <= F.col("left"))
+        .groupBy("source").agg(F.max(_key()).alias("cut")).withColumnRenamed("source", "s")
     )
+    state = written(state.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "thresholds")
     flip = "struct<id: {}, order: double, size: bigint, sign: int>".format(sized.schema["id"].dataType.simpleString())
     state = state.withColumn("flips", F.from_json(F.lit("[]"), f"array<{flip}>"))
-    for _ in range(_FLIPS):
+    while True:  # every round makes some gap smaller, and gaps are whole words apart
         first = _first(sized, state, cap)
         taken = first.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("w"))
         gaps = written(
@@ -210,18 +217,12 @@ def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFram
 
 
 def _first(sized: DataFrame, state: DataFrame, cap: float) -> DataFrame:
-    """``sized`` rated, with ``copies``: the whole part of the rate, and one more below the source's threshold."""
+    """``sized`` rated, with ``copies``: the whole part of the rate, and one more up to the source's threshold."""
     rated = _rated(sized, state, cap)
     part = F.col("order") < 1  # whole rates are settled: a source taken cap times has no document at its threshold
-    at_edge = part & (F.col("bucket") == F.col("crossing"))
-    clear = rated.where(~at_edge).withColumn(
-        "copies", (F.col("whole") + (part & (F.col("bucket") < F.col("crossing"))).cast("int")).cast("int")
-    )
-    w = Window.partitionBy("source").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    edge = rated.where(at_edge).withColumn("upto", F.sum("size").over(w)).withColumn(
-        "copies", (F.col("whole") + (F.col("upto") <= F.col("left")).cast("int")).cast("int")
-    )
-    found = clear.unionByName(edge.drop("upto"))
+    fits = F.col("cut").isNotNull() & (_key() <= F.col("cut"))
+    more = part & ((F.col("bucket") < F.col("crossing")) | (F.col("bucket") == F.col("crossing")) & fits)
+    found = rated.withColumn("copies", (F.col("whole") + more.cast("int")).cast("int"))
     hit = lambda f: f["id"].eqNullSafe(F.col("id")) & (f["order"] == F.col("order")) & (f["size"] == F.col("size"))
     flipped = F.aggregate("flips", F.lit(0), lambda n, f: n + F.when(hit(f), f["sign"]).otherwise(0))
     return found.withColumn("copies", F.least(F.greatest(F.col("copies") + flipped, F.col("whole")), F.col("whole") + part.cast("int")).cast("int"))
@@ -267,10 +268,16 @@ def mixed_rows(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: Sequence[float] = WEIGHTS, share: float = 1.5, cap: float = 2.0,
 ) -> DataFrame:
-    """The mix itself: ``df``'s rows, each as often as it is taken, with ``df``'s columns."""
+    """The mix itself: ``df``'s rows, each as often as it is taken, with ``df``'s columns.
+
+    Nulls, empty texts, repeated rows and empty tables are as in ``mix``; a row
+    that is not taken is left out. The texts are read once for the words and
+    once for the rows, and never shuffled.
+    """
+    # Exploding an array of one keeps the optimizer from counting a text's words again in every expression that uses their number.
     sized = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("id"),
-        F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"),
+        F.col(source_col).cast("string").alias("source"), F.explode(F.array(n_words(F.col(text_col)))).alias("size"),
     )
     small = written(sized.select("id", "source", "size"), "words")
     found = copies(sized, plan(small, weights, share, cap), cap)

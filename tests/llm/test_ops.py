@@ -254,6 +254,21 @@ def test_mixing_odd_rows(spark):
     assert len({(r.taken, r.target) for r in got if r.doc_id == 5}) == 1
     assert mixing.mix(docs_table(spark, [])).count() == 0
     assert mixing.mix(docs_table(spark, [(1, None, None)])).first().taken == 0
+    rows = Counter({r.doc_id: 0 for r in got})
+    for r in got:
+        rows[r.doc_id] += r.copies
+    mixed = mixing.mixed_rows(docs_table(spark, ODD))
+    assert Counter(r.doc_id for r in mixed.collect()) == +rows and mixed.columns == docs_table(spark, ODD).columns
+    assert mixing.mixed_rows(docs_table(spark, [])).count() == 0
+
+
+def test_mixing_takes_equal_rows_alike_and_closes_gaps(spark):
+    rows = [(i % 300, "w " * (1 + i % 11), f"s{i % 3}") for i in range(900)] + [(5000, "w " * 4, "s1")] * 300
+    got = mixing.mix(docs_table(spark, rows)).toPandas()
+    assert (got[got.doc_id == 5000].copies.nunique()) == 1
+    by = got.groupby("target").taken.sum()
+    assert all(abs(t - n) <= max(0.002 * t, 1200 * (t == got[got.doc_id == 5000].target.iloc[0])) for t, n in by.items())
+    assert len(by) == 3
 
 
 # --- language

@@ -1,7 +1,7 @@
 """Language identification of whole texts, with spans of mixed-language text.
 
-A word's script narrows the languages it can be in to those seen with that
-script. Naive Bayes over the character n-grams of a word gives its score in
+A word, a run of letters (Unicode's categories L), can only be in the languages
+seen with its script, or in any where none was. Naive Bayes over the character n-grams of a word gives its score in
 each of them. Viterbi over the words, with a penalty for every change of
 language, then labels spans; a text's language is the one that covers most of
 its letters.
@@ -21,16 +21,42 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import extended, small_batches
+from ._common import extended, forgotten, small_batches, written
 
 TRAIN_ROWS = 4000
 ORDERS = (1, 2, 3)
 PENALTY = 12.0
 FLOOR = -8.0
+BARRED = -1e4  # for a language that a word's script rules out
 UNKNOWN = "und"
-_MEMO = 300_000
+_MEMO = 200_000
 _CHUNK = 1 << 20  # characters whose words are learned at once
-_LETTERS = re.compile(r"[^\W\d_]+")
+_RUNS = re.compile(r"[^\W\d_]+")  # letters, and the few numerals that are no digits
+
+
+def letters(text: str) -> list[tuple[int, int]]:
+    """[start, end) of the runs of letters in a text."""
+    out = []
+    for found in _RUNS.finditer(text):
+        a, b = found.span()
+        if text[a:b].isalpha():
+            out.append((a, b))
+            continue
+        for i in range(a, b):
+            if text[i].isalpha():
+                if out and out[-1][1] == i and i > a:
+                    out[-1] = (out[-1][0], i + 1)
+                else:
+                    out.append((i, i + 1))
+    return out
+
+
+def words_of(text: str) -> list[str]:
+    """The runs of letters in a text."""
+    found = _RUNS.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [text[a:b] for a, b in letters(text)]
 
 # Script blocks of Unicode, (first code point, last code point, script).
 SCRIPTS = (
@@ -75,6 +101,10 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"memo": {}, "scores": None}
 
+    def forget(self) -> None:
+        """Drop what was looked up."""
+        self.memo, self.scores = {}, None
+
     def allowed(self, word: str) -> np.ndarray:
         """True for the languages seen with a script of the word; all where none was."""
         seen = {i for s in scripts(word) for i in self.by_script.get(s, ())}
@@ -98,13 +128,14 @@ class Model:
             edged = f"^{w}$"
             flat += [get(g, rest) for g in grams(edged)]
         sums = np.add.reduceat(self.logs[flat], cuts, axis=0) / len(ORDERS)
-        if len(self.by_script) > 1:
-            for i, w in enumerate(new):
-                if not (mask := self.allowed(w)).all():
-                    sums[i, ~mask] = -np.inf
+        out = {i: ~mask for i, w in enumerate(new) if not (mask := self.allowed(w)).all()} if len(self.by_script) > 1 else {}
+        for i, mask in out.items():
+            sums[i, mask] = -np.inf
         sums -= sums.max(axis=1, keepdims=True)
         post = sums - np.log(np.exp(sums).sum(axis=1, keepdims=True))
         post = np.maximum(post, FLOOR).astype(np.float32)
+        for i, mask in out.items():
+            post[i, mask] = BARRED
         start = len(self.memo)
         if self.scores is None or start + len(new) > len(self.scores):
             grown = np.zeros((max(2 * (start + len(new)), 1024), len(self.langs)), np.float32)
@@ -153,11 +184,11 @@ def identify(model: Model, words: list[str]) -> tuple[str, float, np.ndarray]:
 def spans(text: str, path: np.ndarray, langs: list[str]) -> list[dict]:
     """Stretches of one language in a text, as [start, end) code points; ``path`` labels its words."""
     out: list[dict] = []
-    for found, label in zip(_LETTERS.finditer(text), path.tolist()):
+    for (start, end), label in zip(letters(text), path.tolist()):
         if out and out[-1]["lang"] == langs[label]:
-            out[-1]["end"] = found.end()
+            out[-1]["end"] = end
         else:
-            out.append({"start": found.start(), "end": found.end(), "lang": langs[label]})
+            out.append({"start": start, "end": end, "lang": langs[label]})
     return out
 
 
@@ -166,21 +197,22 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", usable:
 
     The languages share ``max_rows`` rows at most, on average, chosen by a hash
     of the text; their words are counted by language before they reach the
-    driver. Without any such row the model knows no language.
+    driver. Without any such row the model knows no language, and it knows none of which no chosen row has a letter.
     """
     rows = df.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"), (F.lit(True) if usable is None else usable).alias("ok"))
     rows = rows.where(F.col("l").isNotNull() & F.col("ok") & F.col("t").isNotNull())
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
-    langs = sorted(counts)
-    if not langs:
+    counts = written(rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")), "languages")
+    known = counts.count()
+    if not known:
         return Model([], {}, {}, np.zeros((1, 0), np.float32))
-    each = max_rows / len(langs)
-    share = F.lit(1.0)
-    for l in langs:
-        share = F.when(F.col("l") == l, F.lit(min(1.0, each / counts[l]))).otherwise(share)
-    chosen = rows.where(F.pmod(F.xxhash64("t", F.lit(10)), F.lit(1 << 20)) < share * (1 << 20))
+    shares = counts.select("l", F.least(F.lit(1.0), F.lit(max_rows / known) / F.col("n")).alias("share"))
+    chosen = rows.join(F.broadcast(shares) if known <= max_rows else shares, "l")
+    chosen = chosen.where(F.pmod(F.xxhash64("t", F.lit(10)), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     words = chosen.select("l", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
-    table = words.groupBy("l", "w").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    table = words.groupBy("l", "w").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(["l", "w"], kind="stable")
+    langs = sorted(set(table["l"]))
+    if not langs:
+        return Model([], {}, {}, np.zeros((1, 0), np.float32))
     index = {l: i for i, l in enumerate(langs)}
     found: dict[str, list[float]] = {}
     used: dict[str, Counter] = {}
@@ -241,7 +273,14 @@ def detect(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
             for text in batch.column(1):
                 text = text.as_py() or ""
-                held.append((text if with_spans else "", _LETTERS.findall(text.lower()) if model.langs else []))
+                low = text.lower()
+                if not model.langs:
+                    words = []
+                elif len(low) == len(text):
+                    words = words_of(low)
+                else:  # a letter whose lower case is several characters must not split its word
+                    words = [w.lower() for w in words_of(text)]
+                held.append((text if with_spans else "", words))
                 size += len(text)
                 if size >= _CHUNK:
                     label()
@@ -256,4 +295,7 @@ def detect(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     more = ", spans array<struct<start: long, end: long, lang: string>>" if with_spans else ""
-    return df.select(id_col, text_col).mapInArrow(of, extended(df, id_col, f"lang_pred string, score double, n_spans long{more}"))
+    def forgetting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return forgotten(of(batches), lambda: shared.value.forget())
+
+    return df.select(id_col, text_col).mapInArrow(forgetting, extended(df, id_col, f"lang_pred string, score double, n_spans long{more}"))

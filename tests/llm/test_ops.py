@@ -299,6 +299,66 @@ def test_language_spans_and_odd_rows(spark):
     assert langid.detect(lang_table(spark).limit(0), model).count() == 0
 
 
+def test_letters_are_those_of_unicode(spark):
+    model = langid.train(lang_table(spark))
+    rows = [(1, "² ½ ① Ⅷ ٣ 12_34"), (2, "the²and ①"), (3, "İstanbul the and"), (4, "_the_and_")]
+    got = {r.doc_id: r for r in langid.detect(spark.createDataFrame(rows, "doc_id long, text string"), model, with_spans=True).collect()}
+    assert (got[1].lang_pred, got[1].score, got[1].n_spans) == ("und", 0.0, 0)
+    assert got[2].lang_pred == got[4].lang_pred == "en"
+    assert langid.words_of("a²b ①x_y 3ü½") == ["a", "b", "x", "y", "ü"]
+    assert got[3].spans[-1].end == 16
+
+
+def brute_language(model, text):
+    """Language and score from the model's tables by a plain dynamic program over all words."""
+    import math
+
+    low = text.lower()
+    words = re.findall("L+", "".join("L" if c.isalpha() else " " for c in low))
+    at, names = 0, []
+    for w in words:
+        at = next(i for i in range(at, len(low)) if low[i].isalpha())
+        names.append(low[at:at + len(w)])
+        at += len(w)
+    if not names:
+        return "und", 0.0
+    posts = []
+    for w in names:
+        edged, k = f"^{w}$", len(model.langs)
+        sums = [0.0] * k
+        for n in (1, 2, 3):
+            for i in range(len(edged) - n + 1):
+                row = model.logs[model.rows.get(edged[i:i + n], len(model.logs) - 1)]
+                sums = [s + float(x) / 3 for s, x in zip(sums, row)]
+        seen = {i for c in w for i in model.by_script.get(langid.script(c), ())}
+        may = [not seen or i in seen for i in range(k)]
+        top = max(s for s, m in zip(sums, may) if m)
+        norm = math.log(sum(math.exp(s - top) for s, m in zip(sums, may) if m))
+        posts.append([max(s - top - norm, langid.FLOOR) if m else langid.BARRED for s, m in zip(sums, may)])
+    total, back = posts[0], []
+    for row in posts[1:]:
+        came = [max(range(k), key=lambda j: total[j] - langid.PENALTY * (i != j)) for i in range(k)]
+        back.append(came)
+        total = [total[j] - langid.PENALTY * (i != j) + row[i] for i, j in enumerate(came)]
+    path = [max(range(k), key=total.__getitem__)]
+    for came in reversed(back):
+        path.append(came[path[-1]])
+    path.reverse()
+    weight = [sum(len(w) for w, p in zip(names, path) if p == i) for i in range(k)]
+    best = max(range(k), key=weight.__getitem__)
+    score = sum(math.exp(r[best]) * len(w) for r, w, p in zip(posts, names, path) if p == best) / sum(map(len, names))
+    return model.langs[best], score
+
+
+def test_language_query_against_brute_force(spark, sf):
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.train(table, "text", "lang", usable=queries.fold("doc_id", 4) != 2)
+    text = {r.doc_id: r.text or "" for r in table.collect()}
+    for r in queries.op10_language_id(spark, sf).collect():
+        lang, score = brute_language(model, text[r.doc_id])
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-3)
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 

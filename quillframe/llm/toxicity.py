@@ -3,9 +3,11 @@
 A text's terms are its distinct words and the beginnings of its words, hashed
 into a fixed space. A term's own weight adds to the score, and every pair of
 terms adds the product of their factors, so an insult beside the mention of a
-group can weigh more than the two alone. Training keeps the terms whose
-association with the label chance does not explain, which leaves so few that a
-text is scored by looking up its distinct words.
+group can weigh more than the two alone. Training keeps the terms that by
+themselves, or together with another term, tell more about the label than
+chance explains: a mention as common in clean texts as in toxic ones stays if
+its pairs do not. That leaves so few that a text is scored by looking up its
+distinct words.
 """
 
 from __future__ import annotations
@@ -20,18 +22,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import extended, small_batches
+from ._common import extended, forgotten, small_batches
 
 TRAIN_ROWS = 16_000
 SPACE = 1 << 20
 PREFIXES = (3, 4, 5)
 MIN_DOCS = 3
 FACTORS = 4
+PAIR_ROWS = 2000
 STEPS = 400
 RATE = 0.1
 DECAY = 3e-6
-_MEMO = 300_000
+_MEMO = 200_000
+_SLICE = 1 << 20
 _WORDS = re.compile(r"\w+")
+_NO_WORD = re.compile(r"\W")
+
+
+def words_of(text: str | None) -> set[str]:
+    """The distinct lower-case words of a text, which is gone through in slices that cut no word."""
+    text, found, at = text or "", set(), 0
+    while at < len(text):
+        gap = _NO_WORD.search(text, at + _SLICE)
+        end = gap.start() if gap else len(text)
+        found.update(_WORDS.findall(text[at:end].lower()))
+        at = end
+    return found
 
 
 def terms(word: str) -> list[int]:
@@ -55,9 +71,13 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"memo": {}}
 
-    def of(self, text: str) -> list[int]:
+    def forget(self) -> None:
+        """Drop what was looked up."""
+        self.memo = {}
+
+    def of(self, text: str | None) -> list[int]:
         """The model's distinct terms in a text, in order."""
-        words = set(_WORDS.findall(text.lower()))
+        words = words_of(text)
         memo = self.memo
         new = words.difference(memo)
         if len(memo) + len(new) > _MEMO:
@@ -70,7 +90,7 @@ class Model:
 
     def score(self, text: str | None) -> float:
         """Probability of the label, 0 to 1; an empty or null text has that of the bias alone."""
-        on = self.of(text or "")
+        on = self.of(text)
         z = self.bias
         if on:
             v = self.factors[on]
@@ -81,10 +101,11 @@ class Model:
 def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
     """A model from the hashed terms of texts (sorted, distinct) and their 0/1 labels.
 
-    A term stays if it occurs in ``MIN_DOCS`` texts and its association with the
-    label is beyond what the best of as many unrelated terms would show (z
-    above the square root of twice the logarithm of their number). Weights and
-    factors are fitted by Adam on the logistic loss.
+    A term that occurs in ``MIN_DOCS`` texts stays if its own association with
+    the label is beyond what the best of as many unrelated terms would show (z
+    above the square root of twice the logarithm of their number), or if it is
+    in a pair that is beyond that of all pairs with what the first terms leave
+    unexplained. Weights and factors are fitted on the logistic loss.
     """
     n, ones = len(rows), float(labels.sum())
     if not n or not 0 < ones < n:
@@ -100,8 +121,56 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
     spread = np.sqrt(np.maximum(docs * base * (1 - base) * (1 - docs / n), 1e-9))
     z = np.where(usual, np.abs(hits - docs * base) / spread, 0)
     kept = np.nonzero(z > np.sqrt(2 * np.log(max(2, usual.sum()))))[0]
+    model, chance = _descend(rows, labels, kept, seed)
+    more = np.union1d(kept, paired(rows, labels, chance))
+    return model if len(more) == len(kept) else _descend(rows, labels, more, seed)[0]
+
+
+def paired(rows: list[np.ndarray], labels: np.ndarray, chance: np.ndarray, max_rows: int = PAIR_ROWS) -> np.ndarray:
+    """Terms of which a pair's labels differ from a model's probabilities (``chance``) more than those of the best of all unrelated pairs would.
+
+    At most ``max_rows`` texts with different terms are looked at, evenly taken.
+    The variance of a label is taken as no less than that of all labels, as
+    wrong labels go beyond the model's. A pair must be in as many texts as the
+    square of the bound.
+    """
+    different = {row.tobytes(): i for i, row in enumerate(rows)}
+    chosen = sorted(different.values())
+    chosen = [chosen[len(chosen) * i // max_rows] for i in range(max_rows)] if len(chosen) > max_rows else chosen
+    docs = np.zeros(SPACE, np.int64)
+    for i in chosen:
+        docs[rows[i]] += 1
+    often, bound = np.nonzero(docs >= MIN_DOCS)[0], 0.0
+    for _ in range(2):
+        bound = np.sqrt(2 * np.log(max(2, len(often) * (len(often) - 1) / 2)))
+        often = often[docs[often] >= bound**2]
+    if len(often) < 2:
+        return often[:0]
+    place = np.full(SPACE, -1, np.int64)
+    place[often] = np.arange(len(often))
+    x = np.zeros((len(chosen), len(often)), np.float32)
+    for r, i in enumerate(chosen):
+        on = place[rows[i]]
+        x[r, on[on >= 0]] = 1
+    p = chance[chosen].astype(np.float32)[:, None]
+    miss, variance = p - labels[chosen].astype(np.float32)[:, None], np.maximum(p * (1 - p), np.float32(labels.mean() * (1 - labels.mean())))
+    found = np.zeros(len(often), bool)
+    for a in range(0, len(often), 512):
+        own = x[:, a:a + 512]
+        sums, squares = (own * miss).T @ x[:, a:], (own * variance).T @ x[:, a:]
+        clear = np.square(sums) > bound**2 * np.maximum(squares, 1e-9)
+        clear &= np.arange(clear.shape[1])[None, :] > np.arange(len(clear))[:, None]
+        found[a:a + 512] |= clear.any(axis=1)
+        found[a:] |= clear.any(axis=0)
+    return often[found]
+
+
+def _descend(rows: list[np.ndarray], labels: np.ndarray, kept: np.ndarray, seed: int) -> tuple[Model, np.ndarray]:
+    """A model over the terms ``kept``, by Adam on the logistic loss, and its probabilities."""
+    n, k = len(rows), len(kept)
+    base = float(labels.sum()) / n
     place = np.full(SPACE, -1, np.int64)
-    place[kept] = np.arange(len(kept))
+    place[kept] = np.arange(k)
     flat, owner = [], []
     for i, row in enumerate(rows):
         on = place[row]
@@ -111,7 +180,6 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
     flat, owner = np.concatenate(flat), np.concatenate(owner)
     order = np.argsort(flat, kind="stable")
     by_term, its_doc = flat[order], owner[order]
-    k = len(kept)
     rng = np.random.default_rng(seed)
     bias, w, v = np.array([np.log(base / (1 - base))]), np.zeros(k), rng.normal(0, 0.01, (k, FACTORS))
     params = [bias, w, v]
@@ -124,19 +192,21 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
     def to_term(x: np.ndarray) -> np.ndarray:
         return np.bincount(by_term, weights=x[its_doc], minlength=k)
 
-    for step in range(1, STEPS + 1):
+    chance = np.full(n, base)
+    for step in range(1, STEPS + 1 if k else 1):
         sums = np.stack([by_doc(v[flat, f]) for f in range(FACTORS)], axis=1)
         squares = by_doc(np.square(v[flat]).sum(axis=1))
         logit = bias[0] + by_doc(w[flat]) + 0.5 * (np.square(sums).sum(axis=1) - squares)
-        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) / n
-        total = to_term(error)
-        slope_v = np.stack([to_term(error * sums[:, f]) for f in range(FACTORS)], axis=1) - v * total[:, None]
-        slopes = [np.array([error.sum()]), total + DECAY * w, slope_v + DECAY * v]
+        chance = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        miss = (chance - y) / n
+        total = to_term(miss)
+        slope_v = np.stack([to_term(miss * sums[:, f]) for f in range(FACTORS)], axis=1) - v * total[:, None]
+        slopes = [np.array([miss.sum()]), total + DECAY * w, slope_v + DECAY * v]
         for p, g, a, b in zip(params, slopes, m1, m2):
             a += 0.1 * (g - a)
             b += 0.001 * (g * g - b)
             p -= RATE * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
-    return Model(float(bias[0]), {int(t): i for i, t in enumerate(kept)}, w, v)
+    return Model(float(bias[0]), {int(t): i for i, t in enumerate(kept)}, w, v), chance
 
 
 def train(
@@ -162,8 +232,7 @@ def train(
         for batch in batches:
             found = []
             for text in batch.column(1):
-                words = set(_WORDS.findall((text.as_py() or "").lower()))
-                row = np.unique(np.array([t for w in words for t in terms(w)], np.int32))
+                row = np.unique(np.array([t for w in words_of(text.as_py()) for t in terms(w)], np.int32))
                 found.append(row.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["y", "terms"])
 
@@ -189,4 +258,7 @@ def scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             found = [model.score(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=[id_col, "score"])
 
-    return df.select(id_col, text_col).mapInArrow(of, extended(df, id_col, "score double"))
+    def forgetting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return forgotten(of(batches), lambda: shared.value.forget())
+
+    return df.select(id_col, text_col).mapInArrow(forgetting, extended(df, id_col, "score double"))

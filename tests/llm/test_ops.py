@@ -394,6 +394,45 @@ def test_factorization_machine_learns_what_two_terms_mean_together():
     assert max(model.score("w1 vermin w2"), model.score("w3 folk"), model.score("w1"), model.score("")) < 0.3
 
 
+def hashed_terms(words):
+    return np.unique(np.array([t for w in set(words) for t in toxicity.terms(w)], np.int32))
+
+
+@pytest.mark.parametrize("vocabulary", [60, 3000])
+def test_factorization_machine_learns_an_exclusive_or(vocabulary):
+    rng = np.random.default_rng(1)
+    texts, labels = [], []
+    for _ in range(4000):
+        a, b = (rng.random(2) < 0.5).tolist()
+        texts.append([f"w{j}" for j in rng.integers(0, vocabulary, 12)] + ["vermin"] * a + ["folk"] * b)
+        labels.append(int(a != b))
+    model = toxicity.fit([hashed_terms(t) for t in texts[:3000]], np.array(labels[:3000], np.int8))
+    right = [(model.score(" ".join(t)) >= 0.5) == y for t, y in zip(texts[3000:], labels[3000:])]
+    assert np.mean(right) > 0.97
+
+
+def test_scores_are_the_sum_over_pairs(spark, sf):
+    import itertools
+    import math
+
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.train(table, spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "text", "toxic", usable=queries.fold("doc_id", 3) != 1)
+    assert len(model.rows) > 3
+    text = {r.doc_id: r.text or "" for r in table.collect()}
+    for r in queries.op1_toxicity(spark, sf).collect():
+        on = sorted({model.rows[t] for w in re.findall(r"\w+", text[r.doc_id].lower()) for t in toxicity.terms(w) if t in model.rows})
+        z = model.bias + sum(model.weights[i] for i in on) + sum(float(model.factors[i] @ model.factors[j]) for i, j in itertools.combinations(on, 2))
+        want = 1 / (1 + math.exp(-min(max(z, -30), 30)))
+        assert r.score == pytest.approx(want, abs=1e-9) and r.predicted == int(r.score >= 0.7)
+
+
+def test_words_of_long_texts_are_whole(monkeypatch):
+    text = "Alpha beta " * 50 + "x" * 300 + " ΣΑΣ end"
+    whole = toxicity.words_of(text)
+    monkeypatch.setattr(toxicity, "_SLICE", 7)
+    assert toxicity.words_of(text) == whole == set(re.findall(r"\w+", text.lower())) and toxicity.words_of(None) == set()
+
+
 def test_toxicity_odd_rows_and_training(spark):
     rows = [(i, "good calm text" + (" awful" if i % 4 == 0 else "") + f" n{i % 7}", "s") for i in range(200)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0), "x") for i in range(200)] + [(None, 1, ""), (3, None, ""), (0, 0, "")], "doc_id long, toxic int, text string")

@@ -12,6 +12,8 @@ from __future__ import annotations
 import html
 import random
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -20,142 +22,288 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import extended, small_batches
+from ._common import extended, forgotten, small_batches
 
-# Element names of HTML by their part in the tree.
+# Element names of HTML by their part in the tree. All others stand in a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OPAQUE = frozenset("script style noscript iframe template svg math canvas object audio video select textarea title".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br button cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
-)
+UNSEEN = frozenset("script style".split())
+PLAIN = frozenset("textarea title".split())  # what looks like markup in these is text
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split()
 )
+BLOCKS = CLOSES_P | frozenset(
+    "html head title body li dt dd tr td th caption colgroup thead tbody tfoot legend select option optgroup textarea frameset noframes listing plaintext xmp".split()
+)
+MARKED = frozenset("noscript template iframe object video audio canvas".split())  # these stand in a line, and yet say something about what is in them
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPES = frozenset("table td th ul ol dl html body".split())
+SCOPES = frozenset("table td th ul ol dl html body select".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[^<]+|<", re.S
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/><]*)")
+_REST_OF_TAG = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_ENDS = re.compile(r"[>\"']")
+_CLOSE = {tag: re.compile(f"</{tag}(?=[\\s/>])", re.I) for tag in UNSEEN | PLAIN}
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden|data-main)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_DEPTH = 64  # nearest ancestors that give features
+_MEMO_BYTES = 4 << 20
 
 
 @dataclass
 class Block:
-    """A leaf block: its ancestors outermost first, each a tag with its attributes, its text, and how much of it is in links."""
+    """A leaf block: what its ancestors say (features, or their weight), its text, and how much of it is in links."""
 
-    path: tuple[tuple[str, str], ...]
+    above: tuple[str, ...] | float
     text: str
     linked: int
     gold: int = 0
 
 
-def blocks(page: str | None) -> list[Block]:
-    """The non-empty leaf blocks of a page in order. Broken markup is closed as browsers do, roughly; text outside any element counts."""
+def element_features(tag: str, rest: str) -> tuple[str, ...]:
+    """What an element says about the blocks in it: its tag, and the words of its attributes."""
+    found = {f"in {tag}"}
+    for name, value in _ATTRIBUTE.findall(rest) if rest.strip() and tag not in MARKED else ():
+        name = name.lower()
+        if name in ("class", "id", "role"):
+            found.update(f"word {w.lower()}" for w in _NAME_WORD.findall(value))
+        elif name == "hidden" or name == "aria-hidden" and "true" in value or name == "style" and _HIDDEN.search(value):
+            found.add("hidden")
+    return tuple(sorted(found))
+
+
+class _Ends:
+    """Where tags end. Most are matched; once one does not end, every place's end is worked out in one pass from behind."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at, self.ends = page, None, None
+
+    def after(self, begin: int) -> int:
+        """The place of the ``>`` that ends a tag whose attributes begin here, or -1."""
+        if self.at is None:
+            found = _REST_OF_TAG.match(self.page, begin)
+            if found:
+                return found.end() - 1
+            marks = [(m.start(), m[0]) for m in _ENDS.finditer(self.page, begin)]
+            self.at, self.ends = array("q", [i for i, _ in marks]), array("q", [-1] * (len(marks) + 1))
+            plain = single = double = -1
+            for k in range(len(marks) - 1, -1, -1):
+                i, mark = marks[k]
+                if mark == ">":
+                    plain = i
+                elif mark == '"':
+                    plain, double = double, plain
+                else:
+                    plain, single = single, plain
+                self.ends[k] = plain
+        return self.ends[bisect_left(self.at, begin)]
+
+
+class _Open:
+    """The open elements of a page: block elements in a stack, each with the elements of the line in it.
+
+    Counts of what is open answer most questions, so that the work is in
+    proportion to the page whatever it nests.
+    """
+
+    def __init__(self, weights: dict[str, float] | None, memo: dict) -> None:
+        self.get, self.memo = (weights or {}).get, memo
+        self.plain = weights is None
+        self.stack: list[tuple[str, tuple[str, ...], list[str], dict[str, int], int]] = [("", (), [], {}, 0)]
+        self.tags: dict[str, int] = {}
+        self.frames: list[dict[str, int]] = [{}]
+        self.counts: dict[str, int] = {}
+        self.total = 0.0
+        self.links = 0
+
+    def features(self, tag: str, rest: str) -> tuple[str, ...]:
+        key = (tag, rest)
+        found = self.memo.get(key)
+        if found is None:
+            found = element_features(tag, rest)
+            size = self.memo.get(None, 0) + 400 + len(rest) + 100 * len(found)
+            if size > _MEMO_BYTES:
+                self.memo.clear()
+                size = 0
+            if len(rest) <= 1000:
+                self.memo[key] = found
+                self.memo[None] = size
+        return found
+
+    def add(self, found: tuple[str, ...]) -> None:
+        for f in found:
+            n = self.counts.get(f, 0)
+            if not n:
+                self.total += self.get(f, 0.0)
+            self.counts[f] = n + 1
+
+    def drop(self, found: tuple[str, ...]) -> None:
+        for f in found:
+            n = self.counts[f] - 1
+            if n:
+                self.counts[f] = n
+            else:
+                del self.counts[f]
+                self.total -= self.get(f, 0.0)
+
+    def above(self) -> tuple[str, ...] | float:
+        """What the open elements say: of each tag and word once, and of the nearest two tags."""
+        last = self.stack[-1][0]
+        near = (f"at {last}", f"at {self.stack[-2][0]}/{last}" if len(self.stack) > 2 else f"at {last}/") if last else ()
+        if self.plain:
+            return (*sorted(self.counts), *near)
+        return self.total + sum(self.get(f, 0.0) for f in near)
+
+    def push(self, tag: str, rest: str) -> None:
+        found = self.features(tag, rest)
+        gold = 1 if "data-main" in rest else 0 if "data-" in rest else self.stack[-1][4]
+        self.stack.append((tag, found, [], {}, gold))
+        self.tags[tag] = self.tags.get(tag, 0) + 1
+        if tag in SCOPES:
+            self.frames.append({})
+        self.frames[-1][tag] = self.frames[-1].get(tag, 0) + 1
+        self.add(found)
+
+    def pop(self) -> str:
+        self.close_line(None)
+        tag, found, _, _, _ = self.stack.pop()
+        self.tags[tag] -= 1
+        self.frames[-1][tag] -= 1
+        if tag in SCOPES:
+            self.frames.pop()
+        self.drop(found)
+        return tag
+
+    def push_line(self, tag: str) -> None:
+        _, _, line, open_, _ = self.stack[-1]
+        line.append(tag)
+        open_[tag] = open_.get(tag, 0) + 1
+        self.links += tag == "a"
+        if tag in MARKED:
+            self.add((f"in {tag}",))
+
+    def close_line(self, tag: str | None) -> None:
+        """Close a tag of the innermost block's line and all in it; all of the line for None."""
+        _, _, line, open_, _ = self.stack[-1]
+        if tag is not None and not open_.get(tag):
+            return
+        while line:
+            last = line.pop()
+            open_[last] -= 1
+            self.links -= last == "a"
+            if last in MARKED:
+                self.drop((f"in {last}",))
+            if last == tag:
+                return
+
+    def close(self, tag: str) -> None:
+        """Close a block element and all in it, if one of that tag is open."""
+        while self.tags.get(tag):
+            if self.pop() == tag:
+                return
+
+    def make_way(self, tag: str) -> None:
+        """Close what a new block element of this tag ends by itself."""
+        if tag in CLOSES_P and self.stack[-1][0] == "p":
+            self.pop()
+        others = SIBLINGS.get(tag, ())
+        while any(self.frames[-1].get(x) for x in others):
+            while self.pop() not in others:
+                pass
+            if tag != "tr" or self.stack[-1][0] not in others:
+                break
+
+
+def blocks(page: str | None, weights: dict[str, float] | None = None, memo: dict | None = None) -> list[Block]:
+    """The non-empty leaf blocks of a page in order; with ``weights`` their ancestors are summed up by these.
+
+    Broken markup is closed as browsers do, roughly; text outside any element
+    counts, and so does a tag that never ends. Only scripts and styles are no
+    text. The work grows in proportion to the page's length.
+    """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    tree, ends = _Open(weights, {} if memo is None else memo), _Ends(page)
     parts: list[str] = []
-    path: tuple = ()
-    linked, links, at, n = 0, 0, 0, len(page)
-    match = _TOKEN.match
+    above: tuple[str, ...] | float = ()
+    linked, gold, at, n = 0, 0, 0, len(page)
+    bare = False  # no further ">"
+
+    def text(raw: str) -> None:
+        nonlocal above, linked, gold
+        if "&" in raw:
+            raw = html.unescape(raw)
+        if not parts:
+            if not raw.strip():
+                return
+            above, gold = tree.above(), tree.stack[-1][4]
+        parts.append(raw)
+        if tree.links:
+            linked += len(raw.strip())
 
     def flush() -> None:
         nonlocal linked
-        text = " ".join("".join(parts).split())
-        if text:
-            gold = next((1 if "data-main" in rest else 0 for _, rest in reversed(path) if "data-" in rest), 0)
-            out.append(Block(path, text, min(linked, len(text)), gold))
+        found = " ".join("".join(parts).split())
+        if found:
+            out.append(Block(above, found, min(linked, len(found)), gold))
         parts.clear()
         linked = 0
 
-    def pop(to: int) -> None:
-        nonlocal links
-        for tag, _ in stack[to:]:
-            links -= tag == "a"
-        del stack[to:]
-
     while at < n:
-        found = match(page, at)
-        tag = found["tag"]
-        at = found.end()
-        if tag is None:
-            raw = found[0]
-            if raw[0] != "<" or raw == "<":
-                raw = html.unescape(raw) if "&" in raw else raw
-                if not parts:
-                    path = tuple([e for e in stack if e[0] not in INLINE][-_DEPTH:])
-                parts.append(raw)
-                if links:
-                    linked += len(raw.strip())
+        begin = page.find("<", at)
+        if begin < 0:
+            text(page[at:])
+            break
+        if begin > at:
+            text(page[at:begin])
+        at = begin + 1
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = n if end < 0 else end + 3
             continue
-        tag = tag.lower()
-        if tag not in INLINE:
-            flush()
-        elif tag == "br":
-            parts.append(" ") if parts else None
-        if found["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop(i)
-                    break
-                if tag in INLINE and stack[i][0] not in INLINE:
-                    break
-            continue
-        if tag in OPAQUE:
-            close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
-            at = close.end() if close else n if tag in ("script", "style", "title", "textarea") else at
+        if page.startswith(("<!", "<?"), begin):
+            end = -1 if bare else page.find(">", begin)
+            bare = end < 0
+            if bare:
+                text("<")
+            else:
+                at = end + 1
             continue
-        if tag in VOID:
+        found = _TAG.match(page, begin)
+        end = ends.after(found.end()) if found else -1
+        if end < 0:
+            text("<")
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    pop(i)
-                    break
-                if stack[i][0] not in INLINE:
-                    break
-        if tag in SIBLINGS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in SIBLINGS[tag]:
-                    pop(i)
-                    if tag != "tr" or not (stack and stack[-1][0] in SIBLINGS[tag]):
-                        break
-                elif stack[i][0] in SCOPES:
-                    break
-        if tag == "a":
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "a":
-                    pop(i)
-                    break
-                if stack[i][0] not in INLINE:
-                    break
-            links += 1
-        stack.append((tag, found["rest"]))
+        at, tag, rest = end + 1, found[2].lower(), page[found.end():end]
+        if tag in PLAIN and "svg" in tree.stack[-1][3]:
+            tag = f"svg-{tag}"
+        if tag in BLOCKS:
+            flush()
+        elif tag == "br" and parts:
+            parts.append(" ")
+        if found[1]:
+            tree.close(tag) if tag in BLOCKS else tree.close_line(tag)
+        elif tag in UNSEEN or tag in PLAIN:
+            close = _CLOSE[tag].search(page, at)
+            if tag in PLAIN:
+                tree.push(tag, rest)
+                text(page[at:close.start() if close else n])
+                flush()
+                tree.pop()
+            end = page.find(">", close.end()) if close else -1
+            at = n if end < 0 else end + 1
+        elif tag in VOID:
+            pass
+        elif tag in BLOCKS:
+            tree.make_way(tag)
+            tree.push(tag, rest)
+        else:
+            if tag == "a":
+                tree.close_line("a")
+            if not rest.endswith("/"):
+                tree.push_line(tag)
     flush()
     return out
 
 
-@lru_cache(65536)
-def ancestor_features(path: tuple[tuple[str, str], ...]) -> tuple[str, ...]:
-    """Features of a block's ancestors: every tag above it, the nearest tag, and the words of attributes."""
-    found = {f"in {tag}" for tag, _ in path}
-    if path:
-        found.add(f"at {path[-1][0]}")
-        found.add(f"at {'/'.join(t for t, _ in path[-2:])}")
-    for _, rest in path:
-        for name, value in _ATTRIBUTE.findall(rest) if rest.strip() else ():
-            name = name.lower()
-            if name in ("class", "id", "role"):
-                found.update(f"word {w.lower()}" for w in _NAME_WORD.findall(value))
-            elif name == "hidden" or name == "aria-hidden" and "true" in value or name == "style" and _HIDDEN.search(value):
-                found.add("hidden")
-    return tuple(sorted(found))
-
-
 def text_features(block: Block) -> list[str]:
     n = block.text.count(" ") + 1
     share = block.linked / max(1, len(block.text))
@@ -163,7 +311,7 @@ def text_features(block: Block) -> list[str]:
     out = [f"words {min(n.bit_length(), 6)}", f"linked {min(3, int(share * 4))}"]
     if end in ".!?…\"»”":
         out.append("sentence")
-    if "©" in block.text or "copyright" in block.text[:200].lower():
+    if "©" in block.text or "copyright" in block.text.lower():
         out.append("copyright")
     return out
 
@@ -175,16 +323,19 @@ class Model:
     weights: dict[str, float]
     moves: tuple[tuple[float, float], tuple[float, float]]
     start: tuple[float, float]
-    paths: dict = field(default_factory=dict, repr=False)
+    memo: dict = field(default_factory=dict, repr=False)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"memo": {}}
+
+    def forget(self) -> None:
+        """Drop what was looked up."""
+        self.memo = {}
 
     def emissions(self, found: list[Block]) -> list[float]:
-        get, paths, out = self.weights.get, self.paths, []
+        get, out = self.weights.get, []
         for b in found:
-            above = paths.get(b.path)
-            if above is None:
-                if len(paths) > 50_000:
-                    paths.clear()
-                above = paths[b.path] = sum(get(f, 0.0) for f in ancestor_features(b.path))
+            above = b.above if isinstance(b.above, float) else sum(get(f, 0.0) for f in b.above)
             out.append(above + sum([get(f, 0.0) for f in text_features(b)]) + get("any", 0.0))
         return out
 
@@ -209,7 +360,7 @@ class Model:
 
     def main_text(self, page: str | None) -> str:
         """The main text's blocks in order, a line each."""
-        found = blocks(page)
+        found = blocks(page, self.weights, self.memo)
         return "\n".join(b.text for b, y in zip(found, self.decode(found)) if y)
 
 
@@ -222,7 +373,7 @@ def fit(pages: list[list[Block]], steps: int = 250, rate: float = 0.1, decay: fl
         for j, b in enumerate(page):
             starts.append(len(flat))
             where.append((i, j))
-            flat += [names.setdefault(f, len(names)) for f in ("any", *ancestor_features(b.path), *text_features(b))]
+            flat += [names.setdefault(f, len(names)) for f in ("any", *b.above, *text_features(b))]
     flat, starts = np.array(flat), np.array(starts)
     owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(flat))))
     page_of, at = np.array(where).T
@@ -305,6 +456,8 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
                 s += f' <a href="/{word()}">{words(1, 3)}</a> {words(1, 4)}'
             if rng.random() < 0.1:
                 s = f"<{pick(['b', 'em', 'i', 'span', 'strong'])}>{s}"
+            if rng.random() < 0.03:
+                s += pick([" <math><mi>{}</mi><mo>=</mo><mn>2</mn></math>", " <svg><text>{}</text></svg>", " <noscript>{}</noscript>", " <object>{}</object>", " <video>{}</video>"]).format(words(1, 3))
             out.append(s.capitalize() + pick([".", ".", ".", "?", "!", ""]))
         return " ".join(out) + pick(["", "", "<br>"])
 
@@ -334,10 +487,13 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
             return named(["aside", "aside", "div"], names, pick([f"<h3>{words(1, 3)}</h3>{listed(2, 6)}", plain(), f"<h2>{words(1, 3)}</h2><p>{sentences()}</p>"]))
         if kind == "form":
             body = f"<label>{words(1, 3)}</label><input><button>{words(1, 2)}</button>"
+            body += pick(["", "", f"<textarea>{words(1, 9)}</textarea>", f"<select><option>{words(1, 2)}<option>{words(1, 2)}</select>"])
             return pick([f"<form>{plain()}{body}</form>", f"<form><p>{sentences()}</p>{body}</form>", named(["div"], names, plain() + body)])
         if kind == "comments":
             each = lambda: pick(["<p>{}</p>", "<div class=\"comment\"><p>{}</p></div>", "<li>{}</li>", "<article class=\"comment\"><p>{}</p></article>"]).format(sentences())
             return named(["section", "div", "div", "ol"], names, f"<h3>{words(1, 3)}</h3>" + "".join(each() for _ in range(rng.randint(1, 5))))
+        if kind == "notice" and rng.random() < 0.2:
+            return f"<noscript>{pick([words(2, 12), f'<div>{sentences()}</div>'])}</noscript>"
         if kind == "notice":
             return named(["div", "section", "aside", "dialog"], names, pick([plain(), f"<p>{sentences()}</p><button>{words(1, 2)}</button>"]))
         return named(["div", "div", "aside", "p"], names, pick([plain(), sentences(), listed(1, 3)]))
@@ -352,6 +508,7 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
                 f"<blockquote data-main><p>{sentences()}</p></blockquote>", f"<pre data-main>{words(2, 12)}</pre>", f"<div data-main>{sentences()}</div>",
                 f"<p data-main>{sentences()}", f"<table data-main><tr><td>{words(1, 4)}</td><td>{words(1, 4)}</td></tr></table>",
                 f"<figure data-main><img><figcaption>{sentences()}</figcaption></figure>",
+                f"<noscript><p data-main>{sentences()}</p></noscript>",
             ]))
             if rng.random() < 0.25:
                 parts.append(rest(pick(["ad", "ad", "aside", "share", "notice", "form", "nav"])))
@@ -406,4 +563,7 @@ def extract(df: DataFrame, model: Model | None = None, id_cols: tuple[str, ...]
             found = [model.main_text(p.as_py()) for p in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["row", "text"])
 
-    return rows.mapInArrow(of, extended(rows, "row", "text string"))
+    def forgetting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return forgotten(of(batches), lambda: shared.value.forget())
+
+    return rows.mapInArrow(forgetting, extended(rows, "row", "text string"))

@@ -612,6 +612,8 @@ def test_nearest_in_one_crowded_list(spark):
     ('<script>var t="</p>";</script><style>p{}</style><main><h1>Some title</h1><p>First sentence of the text.</p><div class="ad">Buy this now!</div><p>Second sentence of it.</p></main><div class="comments"><p>I like this.</p></div>',
      "Some title\nFirst sentence of the text.\nSecond sentence of it."),
     ("<article><p>Cut off in the mid", "Cut off in the mid"),
+    ("<article><h1>A title of it</h1><p>Before <math><mi>x</mi></math> after, some words.</p><noscript><p>Plain words for all of you.</p></noscript><p>The area <svg><text>A</text></svg> is <object>large</object>.</p></article><footer>Legal</footer>",
+     "A title of it\nBefore x after, some words.\nPlain words for all of you.\nThe area A is large."),
 ])
 def test_main_text(page, text):
     assert html_crf.default_model().main_text(page) == text
@@ -634,6 +636,59 @@ def test_field_held_out_accuracy_and_best_path():
     assert right / total > 0.97
 
 
+def test_weights_of_ancestors_are_the_sum_of_their_features():
+    model = html_crf.default_model()
+    for page in html_crf.labelled_pages(60, seed=3) + ["<div><p>a<div>b</p></div>" * 50, "<table><tr><td>a<td>b<tr><td><ul><li>c<li>d</table>e", "<nav" * 9 + "<p>x<a>y<a>z</p>"]:
+        slow, fast = html_crf.blocks(page), html_crf.blocks(page, model.weights)
+        assert [(b.text, b.linked, b.gold) for b in slow] == [(b.text, b.linked, b.gold) for b in fast]
+        assert np.allclose(model.emissions(slow), model.emissions(fast))
+
+
+def test_tags_end_where_quotes_allow():
+    import random
+
+    rng = random.Random(4)
+
+    def plain(page, i):
+        quote = ""
+        for at in range(i, len(page)):
+            c = page[at]
+            if quote:
+                quote = "" if c == quote else quote
+            elif c in "\"'":
+                quote = c
+            elif c == ">":
+                return at
+        return -1
+
+    for _ in range(300):
+        page = "".join(rng.choice("a >\"'<") for _ in range(rng.randint(1, 30)))
+        ends = html_crf._Ends(page)
+        for i in range(len(page) + 1):
+            assert ends.after(i) == plain(page, i)
+
+
+@pytest.mark.parametrize("unit", ["<p class='x ", "<a ", "<!", "<?x", "<script ", "<div><b>", "</x>", "<div></p><b>", "<li><div>", "<title><p>", "<svg><title>", "<!--", "<a<a", "&", "<ul><li><b><div></div>", "<table><tr><td>x"])
+def test_hostile_pages_take_time_in_proportion(unit):
+    import time
+
+    model = html_crf.default_model()
+
+    def seconds(n):
+        began = time.process_time()
+        model.main_text("<article><p>Some text of it.</p>" + unit * (n // len(unit)))
+        return time.process_time() - began
+
+    seconds(50_000)
+    assert seconds(1_000_000) < 8
+
+
+def test_deep_ancestors_count():
+    model = html_crf.default_model()
+    page = "<nav>" + "<div>" * 500 + "Home page and more" + "</div>" * 500 + "</nav><article><p>This is the text of it.</p></article>"
+    assert "in nav" in html_crf.blocks(page)[0].above and model.main_text(page) == "This is the text of it."
+
+
 def test_extraction_of_the_pages(spark, sf):
     import html
 

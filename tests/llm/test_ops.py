@@ -563,8 +563,9 @@ def test_sentencepiece_query(spark, sf):
 # --- nearest neighbours
 
 
-def test_nearest_recall_and_order(spark):
-    sf = "/root/testdata/sf0.01"
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_nearest_recall_and_order(spark, size):
+    sf = f"/root/testdata/{size}"
     got = queries.op4_nearest(spark, sf).toPandas()
     e = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
     x, ids = np.stack(e.embedding).astype(float), e.vec_id.to_numpy()
@@ -589,11 +590,33 @@ def test_nearest_odd_rows(spark):
     assert ann.search(table.limit(0)).count() == 0
 
 
+def test_nearest_among_many_equal_vectors(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(900, 8))
+    x[100:400] = x[100]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(120, x[100].tolist())] * 30 + [(40, x[3].tolist())], "vec_id long, embedding array<double>")
+    got = ann.search(table, shard=100, group=7).toPandas()
+    assert len(got) == 45 * 20
+    ids = np.concatenate((np.arange(900), [120] * 30, [40]))
+    every = np.concatenate((x, x[[100] * 30], x[[3]]))
+    hits = 0
+    for q in range(0, 900, 20):
+        v = min(every[ids == q].tolist())
+        s = every @ np.array(v)
+        best = [i for i in np.lexsort((ids, -s)) if ids[i] != q][:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert np.allclose(mine.score, np.sort(mine.score)[::-1]) and q not in set(mine.vec_id)
+        hits += sum((Counter(ids[best].tolist()) & Counter(mine.vec_id.tolist())).values())
+        if 100 <= q < 400:
+            assert list(mine.vec_id) == ids[best].tolist() or not np.allclose(s[best], s[best][0])
+    assert hits / len(got) > 0.95
+
+
 def test_nearest_in_one_crowded_list(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([np.tile(rng.normal(size=8), (300, 1)) + rng.normal(0, 1e-3, (300, 8)), rng.normal(size=(200, 8))])
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = ann.search(table, block=64, group=4).toPandas()
+    got = ann.search(table, shard=64, group=4).toPandas()
     hits = 0
     for q in range(0, 500, 20):
         s = x @ x[q]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import TypeVar
 
 from pyspark import TaskContext
@@ -57,6 +58,13 @@ def _bytes(setting: str) -> int:
     return int(digits) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(unit[:1], 0)
 
 
+def constant_table(spark: SparkSession, rows: Iterable[tuple], ddl: str) -> DataFrame:
+    """A table of a few rows that are part of the plan, so no Python worker has a hand in it."""
+    names = StructType.fromDDL(ddl).names
+    whole = json.dumps([dict(zip(names, r)) for r in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(whole), f"array<struct<{ddl}>>")))
+
+
 def small_batches(spark: SparkSession, limit: str = "16m") -> None:
     """Bound the bytes of an Arrow batch, so very long texts do not pile up in a Python worker.
 

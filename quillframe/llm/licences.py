@@ -22,7 +22,7 @@ from importlib.resources import files as packaged
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import constant_table, written
 
 THRESHOLD = 0.8
 FILE_SHARE = 0.5
@@ -104,7 +104,7 @@ def terms(text: Column) -> Column:
 def idf(df: DataFrame, text_col: str, vocabulary: list[str]) -> tuple[dict[str, float], float]:
     """Inverse document frequencies of a fixed vocabulary over all rows, and that of a term outside it (as if in one document)."""
     spark = df.sparkSession
-    words = spark.createDataFrame([(w,) for w in vocabulary], "term string")
+    words = constant_table(spark, [(w,) for w in vocabulary], "term: string")
     rows = df.select(F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term")).join(F.broadcast(words), "term")
     counts = {r["term"]: r["n"] for r in rows.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = df.count()
@@ -163,15 +163,15 @@ class _Templates:
         """(key, licence, score) of the parts that reach the threshold; the best template, on a tie the first."""
         spark = parts.sparkSession
         each = parts.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-        known = spark.createDataFrame(sorted(self.weights.items()), "term string, idf double")
+        known = constant_table(spark, sorted(self.weights.items()), "term: string, idf: double")
         each = each.join(F.broadcast(known), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(self.other)))
         unit = [
             (i, t, x / math.sqrt(sum(y * y for y in v.values()))) for i, v in enumerate(self.vectors) for t, x in sorted(v.items())
         ]
-        sides = spark.createDataFrame(unit, "template int, term string, y double")
+        sides = constant_table(spark, unit, "template: int, term: string, y: double")
         dots = each.join(F.broadcast(sides), "term").groupBy(key, "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
         norms = each.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-        names = spark.createDataFrame([(i, name) for i, (name, _) in enumerate(self.lines)], "template int, licence string")
+        names = constant_table(spark, [(i, name) for i, (name, _) in enumerate(self.lines)], "template: int, licence: string")
         score = F.round(F.least(F.lit(1.0), F.col("dot") / F.col("norm")), 9)
         best = dots.join(norms, key).withColumn("score", score).where(F.col("score") >= self.threshold).groupBy(key).agg(
             F.max_by(F.struct("template", "score"), F.struct("score", -F.col("template"))).alias("best")
@@ -202,6 +202,10 @@ def parts_of(text: Column) -> Column:
     )
 
 
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(F.encode(text, "UTF-8"), 256))
+
+
 def scan(
     df: DataFrame, id_col: str, text_col: str, path: Column, threshold: float = THRESHOLD, file_share: float = FILE_SHARE,
 ) -> DataFrame:
@@ -214,13 +218,15 @@ def scan(
     none, a null path lies in no directory. Rows that repeat an id each get a
     row; other columns are ignored; an empty table gives an empty one.
     """
-    # Texts are named by their hash: equal texts state the same licence.
-    files = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), path.alias("path"))
-    files = files.withColumn("key", F.xxhash64("t"))
+    # Texts and parts are named by their digests: equal ones state the same licence, and different ones never share a name.
     known = _Templates(df, text_col, TEMPLATES + BLOCKS, threshold, rare=True)
-    texts = files.where(known.has(F.col("t"))).select("key", "t").dropDuplicates(["key"])
+    files = written(
+        df.select(F.col(id_col).alias("id"), path.alias("path"), _digest(F.col(text_col)).alias("key"), F.when(known.has(F.col(text_col)), F.col(text_col)).alias("t")),
+        "files",
+    )
+    texts = files.where(F.col("t").isNotNull()).select("key", "t").dropDuplicates(["key"])
     parts = texts.select("key", F.size(terms(F.col("t"))).alias("words"), F.explode(parts_of(F.col("t"))).alias("p")).select("key", "words", "p.kind", "p.part")
-    parts = written(parts.where(known.has(F.col("part"))).withColumn("name", F.xxhash64("part")), "licence-parts")
+    parts = written(parts.where(known.has(F.col("part"))).withColumn("name", _digest(F.col("part"))), "licence-parts")
     stated = written(known.match(parts.select("name", "part").dropDuplicates(["name"]), "name", "part"), "licence-matches")
     hits = parts.select("key", "words", "kind", "name", F.size(terms(F.col("part"))).alias("size")).join(stated, "name")
     own = hits.groupBy("key").agg(

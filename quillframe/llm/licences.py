@@ -142,34 +142,49 @@ def one_of(words: set[str]) -> str:
 
 
 class _Templates:
-    """Templates weighted by a corpus."""
+    """Templates weighted by a corpus: idf times the number of a term, or, if ``damped``, 1 and the logarithm of that number.
 
-    def __init__(self, df: DataFrame, text_col: str, lines: tuple, threshold: float, rare: bool) -> None:
+    Whole licence texts need the damping, as their articles and prepositions,
+    a hundred times each, would outweigh all that tells them apart.
+    """
+
+    def __init__(self, df: DataFrame, text_col: str, lines: tuple, threshold: float, damped: bool) -> None:
         bags: list[dict[str, int]] = []
         for _, line in lines:
             bag: dict[str, int] = {}
             for t in re.findall(TERM, line.lower()):
                 bag[t] = bag.get(t, 0) + 1
             bags.append(bag)
-        self.lines, self.threshold = lines, threshold
+        self.lines, self.threshold, self.damped = lines, threshold, damped
         self.weights, self.other = idf(df, text_col, sorted({t for b in bags for t in b}))
-        self.vectors = [{t: n * self.weights[t] for t, n in b.items()} for b in bags]
-        self.anchor = f"(?<![a-z0-9]){one_of(anchors(self.vectors, threshold, self.weights if rare else None))}(?![a-z0-9])"
+        self.vectors = [{t: (1 + math.log(n) if damped else n) * self.weights[t] for t, n in b.items()} for b in bags]
+        self.anchor = f"(?<![a-z0-9]){one_of(anchors(self.vectors, threshold, self.weights if damped else None))}(?![a-z0-9])"
 
     def has(self, text: Column) -> Column:
         return F.lower(text).rlike(self.anchor)
 
     def match(self, parts: DataFrame, key: str, text: str) -> DataFrame:
-        """(key, licence, score) of the parts that reach the threshold; the best template, on a tie the first."""
+        """(key, licence, score) of the parts that reach the threshold; the best template, on a tie the first.
+
+        A cosine is at most the length of what the template has in common with
+        the part, over the template's; parts that fall short by that alone are
+        not counted out.
+        """
         spark = parts.sparkSession
-        each = parts.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-        known = constant_table(spark, sorted(self.weights.items()), "term: string, idf: double")
-        each = each.join(F.broadcast(known), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(self.other)))
         unit = [
             (i, t, x / math.sqrt(sum(y * y for y in v.values()))) for i, v in enumerate(self.vectors) for t, x in sorted(v.items())
         ]
-        sides = constant_table(spark, unit, "template: int, term: string, y: double")
-        dots = each.join(F.broadcast(sides), "term").groupBy(key, "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+        sides = F.broadcast(constant_table(spark, unit, "template: int, term: string, y: double"))
+        shared = parts.select(key, F.array_intersect(terms(F.col(text)), F.lit(sorted(self.weights))).alias("terms")).distinct()
+        common = shared.select(key, F.explode("terms").alias("term")).join(sides, "term")
+        able = common.groupBy(key, "template").agg(F.sum(F.col("y") * F.col("y")).alias("most")).where(F.col("most") >= self.threshold**2 - 1e-9)
+        able = written(able.select(key).distinct(), "able")
+        tf = F.count(F.lit(1))
+        each = parts.join(able, key, "left_semi").select(key, text).distinct().select(key, F.explode(terms(F.col(text))).alias("term"))
+        each = each.groupBy(key, "term").agg((1 + F.log(tf) if self.damped else tf).alias("tf"))
+        known = constant_table(spark, sorted(self.weights.items()), "term: string, idf: double")
+        each = each.join(F.broadcast(known), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(self.other)))
+        dots = each.join(sides, "term").groupBy(key, "template").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
         norms = each.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
         names = constant_table(spark, [(i, name) for i, (name, _) in enumerate(self.lines)], "template: int, licence: string")
         score = F.round(F.least(F.lit(1.0), F.col("dot") / F.col("norm")), 9)
@@ -181,7 +196,7 @@ class _Templates:
 
 def scan_lines(df: DataFrame, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
     """(line, licence, score) of every distinct line of ``df``'s texts that states a licence; the best one, on a tie the first template."""
-    known = _Templates(df, text_col, TEMPLATES, threshold, rare=False)
+    known = _Templates(df, text_col, TEMPLATES, threshold, damped=False)
     lines = df.select(F.explode(F.split(text_col, r"\r\n|\r|\n")).alias("line")).where(known.has(F.col("line"))).distinct()
     return known.match(written(lines, "lines"), "line", "line")
 
@@ -219,15 +234,13 @@ def scan(
     row; other columns are ignored; an empty table gives an empty one.
     """
     # Texts and parts are named by their digests: equal ones state the same licence, and different ones never share a name.
-    known = _Templates(df, text_col, TEMPLATES + BLOCKS, threshold, rare=True)
-    files = written(
-        df.select(F.col(id_col).alias("id"), path.alias("path"), _digest(F.col(text_col)).alias("key"), F.when(known.has(F.col(text_col)), F.col(text_col)).alias("t")),
-        "files",
-    )
-    texts = files.where(F.col("t").isNotNull()).select("key", "t").dropDuplicates(["key"])
-    parts = texts.select("key", F.size(terms(F.col("t"))).alias("words"), F.explode(parts_of(F.col("t"))).alias("p")).select("key", "words", "p.kind", "p.part")
-    parts = written(parts.where(known.has(F.col("part"))).withColumn("name", _digest(F.col("part"))), "licence-parts")
-    stated = written(known.match(parts.select("name", "part").dropDuplicates(["name"]), "name", "part"), "licence-matches")
+    known = _Templates(df, text_col, TEMPLATES + BLOCKS, threshold, damped=True)
+    files = df.select(F.col(id_col).alias("id"), path.alias("path"), _digest(F.col(text_col)).alias("key"))
+    texts = written(df.select(F.col(text_col).alias("t")).where(known.has(F.col("t"))).select(_digest(F.col("t")).alias("key"), "t").distinct(), "licence-texts")
+    # Parts are cut out of the texts twice, as most are only looked at once and would take several times the texts' room.
+    cut = texts.select("key", F.size(terms(F.col("t"))).alias("words"), F.explode(parts_of(F.col("t"))).alias("p")).select("key", "words", "p.kind", "p.part")
+    parts = cut.where(known.has(F.col("part"))).withColumn("name", _digest(F.col("part")))
+    stated = written(known.match(parts.select("name", "part"), "name", "part"), "licence-matches")
     hits = parts.select("key", "words", "kind", "name", F.size(terms(F.col("part"))).alias("size")).join(stated, "name")
     own = hits.groupBy("key").agg(
         F.min_by(F.struct("licence", "score"), F.struct(-F.col("score"), F.col("licence"))).alias("best"),

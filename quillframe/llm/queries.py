@@ -36,11 +36,13 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The licence of every document, its own or its directory's; documents lie by source, thousand and hundred of their ids."""
-    path = F.concat_ws(
-        "/", F.coalesce("source", F.lit("")), F.floor(F.col("doc_id") / 1000).cast("string"),
-        F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"),
-    )
+    """The licence of every document, its own or its directory's.
+
+    Documents lie by source, thousand and hundred of their ids; a null source
+    or id is an empty name on its level.
+    """
+    name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    path = F.concat_ws("/", name(F.col("source")), name(F.floor(F.col("doc_id") / 1000)), name(F.floor(F.col("doc_id") / 100)), name(F.col("doc_id")))
     return licences.scan(_table(spark, sf_dir, "documents"), "doc_id", "text", path)
 
 

@@ -769,6 +769,74 @@ def test_licence_lines_against_brute_force(spark, sf):
     assert got == want and len(got) >= 2
 
 
+def rewrapped(text, width, lead=""):
+    import textwrap
+
+    return "\n".join(lead + line for p in text.split("\n\n") for line in [*textwrap.wrap(" ".join(p.split()), width), ""])
+
+
+def test_real_licences_are_recognised_and_inherited(spark):
+    full = licences._full
+    code = "import os\n\n\ndef run(x):\n    return os.path.join(x, 'a')\n" * 20
+    notice = " ".join(licences._NOTICE).format("", "3")
+    rows = [
+        (1, "Copyright (c) 2020 A. Nother\n\n" + full("MIT"), "mit/LICENSE"), (2, code, "mit/src/x.py"),
+        (3, rewrapped(full("BSD-3-Clause"), 60), "bsd/COPYING"), (4, code, "bsd/a/b/c/x.py"),
+        (5, full("Apache-2.0"), "ap/LICENSE.txt"), (6, full("GPL-2.0"), "ap/gpl/COPYING"), (7, code, "ap/gpl/x"), (8, code, "ap/y"),
+        (9, rewrapped(notice, 70, "# ") + "\n" + code, "q/z.py"), (10, code, "q/w.py"), (11, full("MPL-2.0"), "mpl/L"), (12, rewrapped(full("ISC"), 50), "isc/L"),
+        (13, None, "mit/none"), (14, "", "bsd/empty"), (15, LONG, "mit/src/long"), (16, LONG + "\nSPDX-License-Identifier: MIT\n" + LONG, "q/long"), (17, code, None), (None, full("MIT"), "n/L"),
+    ]
+    got = {r.doc_id: (r.licence, r.origin) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string, path string"), "doc_id", "text", F.col("path")).collect()}
+    assert got == {
+        1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("BSD-3-Clause", "own"), 4: ("BSD-3-Clause", "inherited"), 5: ("Apache-2.0", "own"), 6: ("GPL-2.0", "own"),
+        7: ("GPL-2.0", "inherited"), 8: ("Apache-2.0", "inherited"), 9: ("GPL-3.0", "own"), 10: (None, "none"), 11: ("MPL-2.0", "own"), 12: ("ISC", "own"),
+        13: ("MIT", "inherited"), 14: ("BSD-3-Clause", "inherited"), 15: ("MIT", "inherited"), 16: ("MIT", "own"), 17: (None, "none"), None: ("MIT", "own"),
+    }
+
+
+def test_licence_query_against_brute_force(spark, sf):
+    import math
+
+    docs = {r.doc_id: (r.text, r.source) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    bag = lambda s: Counter(re.findall("[a-z0-9]+", s.lower()))
+    temps = [(name, bag(text)) for name, text in licences.TEMPLATES + licences.BLOCKS]
+    vocabulary = {t for _, b in temps for t in b}
+    seen = Counter(t for text, _ in docs.values() for t in set(bag(text or "")) & vocabulary)
+    idf = lambda t: math.log((1 + len(docs)) / (1 + (seen[t] if t in vocabulary else 1))) + 1
+    weigh = lambda b: {t: (1 + math.log(n)) * idf(t) for t, n in b.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    sides = [(name, weigh(b)) for name, b in temps]
+
+    def match(part):
+        v = weigh(bag(part))
+        scores = [(round(min(1.0, sum(x * y.get(t, 0) for t, x in v.items()) / norm(v) / norm(y)), 9), -i) for i, (_, y) in enumerate(sides)] if v else []
+        return (sides[-max(scores)[1]][0], max(scores)[0]) if scores and max(scores)[0] >= licences.THRESHOLD else None
+
+    comment = re.compile(licences.COMMENT.replace("^", "", 1))
+    own, whole = {}, {}
+    for i, (text, _) in docs.items():
+        plain = re.sub("\r\n?", "\n", text or "")
+        lines = plain.split("\n")
+        code = next((k for k, x in enumerate(lines) if not comment.match(x.lower())), len(lines))
+        parts = [("line", x) for x in dict.fromkeys(lines)] + [("p", x) for x in dict.fromkeys(re.split("\n[^A-Za-z0-9]*\n", plain))] + [("h", "\n".join(lines[:code])), ("whole", plain)]
+        hits = [(kind, x, m) for kind, x in parts if (m := match(x))]
+        if hits:
+            own[i] = min((-m[1], m[0]) for _, _, m in hits)
+            stated = sum(sum(bag(x).values()) for kind, x, _ in hits if kind == "line")
+            whole[i] = any(kind == "whole" for kind, _, _ in hits) or stated >= licences.FILE_SHARE * sum(bag(plain).values())
+    given = {}
+    for i in whole:
+        if whole[i]:
+            at = f"{docs[i][1] or ''}/{i // 1000}/{i // 100}"
+            given[at] = min(given.get(at, own[i]), own[i])
+    got = queries.op3_licences(spark, sf).collect()
+    assert len(got) == len(docs) and len(own) > 3
+    for r in got:
+        up = [at for at in (f"{docs[r.doc_id][1] or ''}/{r.doc_id // 1000}/{r.doc_id // 100}", f"{docs[r.doc_id][1] or ''}/{r.doc_id // 1000}", docs[r.doc_id][1] or "") if at in given]
+        want = (own[r.doc_id][1], "own", -own[r.doc_id][0]) if r.doc_id in own else (given[up[0]][1], "inherited", -given[up[0]][0]) if up else (None, "none", None)
+        assert (r.licence, r.origin, r.score) == want
+
+
 # --- all queries, and the pipeline
 
 

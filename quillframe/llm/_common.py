@@ -40,15 +40,15 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again.
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again; as few as ``files`` files, for a table that is small beside the input.
 
     This cuts the lineage at a table that every executor can read, so a lost
     executor costs the tasks it was running and nothing before them.
     """
     spark = df.sparkSession
     at = fresh_dir(spark, name)
-    df.write.parquet(at)
+    (df.coalesce(files) if files else df).write.parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
 
@@ -65,7 +65,7 @@ def constant_table(spark: SparkSession, rows: Iterable[tuple], ddl: str) -> Data
     return spark.range(1).select(F.inline(F.from_json(F.lit(whole), f"array<struct<{ddl}>>")))
 
 
-def small_batches(spark: SparkSession, limit: str = "16m") -> None:
+def small_batches(spark: SparkSession, limit: str = "4m") -> None:
     """Bound the bytes of an Arrow batch, so very long texts do not pile up in a Python worker.
 
     Spark's own setting of this session is lowered where it is larger than

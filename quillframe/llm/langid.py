@@ -29,7 +29,7 @@ PENALTY = 12.0
 FLOOR = -8.0
 BARRED = -1e4  # for a language that a word's script rules out
 UNKNOWN = "und"
-_MEMO = 200_000
+_MEMO = 150_000
 _CHUNK = 1 << 20  # characters whose words are learned at once
 _RUNS = re.compile(r"[^\W\d_]+")  # letters, and the few numerals that are no digits
 
@@ -192,11 +192,28 @@ def spans(text: str, path: np.ndarray, langs: list[str]) -> list[dict]:
     return out
 
 
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The weights of n-grams, and the letters of scripts, by language, from a partition's words (l, w, x, n)."""
+    tally: Counter = Counter()
+    for batch in batches:
+        for l, w, x, n in zip(*(c.to_pylist() for c in batch.columns)):
+            for s in scripts(w):
+                tally[l, True, s] += n * len(w)
+            for g in grams(f"^{w}$"):
+                tally[l, False, g] += x
+    if tally:
+        columns = list(zip(*tally))
+        kinds = (pa.string(), pa.bool_(), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [*map(pa.array, columns, kinds), pa.array(list(tally.values()), pa.int64())], names=["l", "script", "key", "x"]
+        )
+
+
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", usable: Column | None = None, max_rows: int = TRAIN_ROWS) -> Model:
     """A model from the rows of ``df`` with a language, or those of them where ``usable`` holds.
 
     The languages share ``max_rows`` rows at most, on average, chosen by a hash
-    of the text; their words are counted by language before they reach the
+    of the text; only the weights of their words' n-grams by language reach the
     driver. Without any such row the model knows no language, and it knows none of which no chosen row has a letter.
     """
     rows = df.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"), (F.lit(True) if usable is None else usable).alias("ok"))
@@ -209,23 +226,21 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", usable:
     chosen = rows.join(F.broadcast(shares) if known <= max_rows else shares, "l")
     chosen = chosen.where(F.pmod(F.xxhash64("t", F.lit(10)), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     words = chosen.select("l", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
-    table = words.groupBy("l", "w").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(["l", "w"], kind="stable")
+    # A word weighs 1 and the logarithm of its number, in whole 2^20ths, so that sums are the same in any order.
+    weights = words.groupBy("l", "w").agg(F.round((1 + F.log(F.count(F.lit(1)))) * (1 << 20)).cast("long").alias("x"), F.count(F.lit(1)).alias("n"))
+    table = weights.mapInArrow(_tallied, "l string, script boolean, key string, x long").groupBy("l", "script", "key").agg(F.sum("x").alias("x")).toPandas()
     langs = sorted(set(table["l"]))
     if not langs:
         return Model([], {}, {}, np.zeros((1, 0), np.float32))
     index = {l: i for i, l in enumerate(langs)}
     found: dict[str, list[float]] = {}
     used: dict[str, Counter] = {}
-    for l, w, n in zip(table["l"].map(index), table["w"], table["n"].tolist()):
-        for s in scripts(w):
-            used.setdefault(s, Counter())[l] += n * len(w)
-        weight = 1 + math.log(n)
-        for g in grams(f"^{w}$"):
-            row = found.get(g)
-            if row is None:
-                row = found[g] = [0.0] * len(langs)
-            row[l] += weight
-    kept = [g for g, row in found.items() if sum(row) > 2]
+    for l, is_script, key, x in zip(table["l"].map(index), table["script"], table["key"], table["x"].tolist()):
+        if is_script:
+            used.setdefault(key, Counter())[l] += x
+        else:
+            found.setdefault(key, [0.0] * len(langs))[l] = x / (1 << 20)
+    kept = sorted(g for g, row in found.items() if sum(row) > 2)
     logs = np.zeros((len(kept) + 1, len(langs)))
     if kept:
         sizes = np.array(list(map(len, kept)))

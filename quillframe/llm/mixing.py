@@ -27,6 +27,7 @@ from ._common import partitions, written
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 _BUCKETS = 4096
+_FILES = 8  # of tables with a row for each source
 _FLAT = 60.0  # exp(-60) is nothing beside 1
 
 
@@ -63,7 +64,7 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     is shared again by weight until none is above.
     """
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
-    table = written(ranked(sources).select("source", "total", "docs", weight.alias("weight")), "weights").withColumn(
+    table = written(ranked(sources).select("source", "total", "docs", weight.alias("weight")), "weights", _FILES).withColumn(
         "most", cap * F.col("total")
     )
     row = table.agg(F.sum("total").alias("t"), F.sum("weight").alias("w")).first()
@@ -108,7 +109,7 @@ def tilts(sizes: DataFrame, goals: DataFrame, cap: float = 2.0, max_steps: int =
             F.when(inner, -F.col("wide")).alias("low"), F.when(inner, F.col("wide")).alias("high"),
             (~inner | F.col("total").isNull()).alias("done"),
         ),
-        "tilts",
+        "tilts", _FILES,
     )
     for _ in range(max_steps):
         if state.where(~F.col("done")).isEmpty():
@@ -136,7 +137,7 @@ def tilts(sizes: DataFrame, goals: DataFrame, cap: float = 2.0, max_steps: int =
                 F.when(F.col("done") | near, F.col("tilt")).when(inside, step).otherwise((F.col("lo") + F.col("hi")) / 2).alias("tilt"),
                 F.col("lo").alias("low"), F.col("hi").alias("high"), (F.col("done") | near).alias("done"),
             ),
-            "tilts",
+            "tilts", _FILES,
         )
     raise RuntimeError(f"tilts: no solution in {max_steps} steps")
 
@@ -188,7 +189,8 @@ def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFram
         edge.withColumn("upto", F.sum("size").over(sofar)).where(F.col("upto") <= F.col("left"))
         .groupBy("source").agg(F.max(_key()).alias("cut")).withColumnRenamed("source", "s")
     )
-    state = written(state.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "thresholds")
+    cuts = written(cuts, "cuts")
+    state = written(state.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "thresholds", _FILES)
     flip = "struct<id: {}, order: double, size: bigint, sign: int>".format(sized.schema["id"].dataType.simpleString())
     state = state.withColumn("flips", F.from_json(F.lit("[]"), f"array<{flip}>"))
     while True:  # every round makes some gap smaller, and gaps are whole words apart
@@ -197,7 +199,7 @@ def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFram
         gaps = written(
             taken.join(goal, F.col("source").eqNullSafe(F.col("s"))).select(F.col("source").alias("s"), (F.col("goal") - F.col("w")).alias("gap"), "goal")
             .where(F.abs("gap") > F.greatest(F.lit(0.5), F.col("goal") * 1e-3)),
-            "gaps",
+            "gaps", _FILES,
         )
         if gaps.isEmpty():
             break
@@ -208,11 +210,11 @@ def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFram
             .groupBy("source").agg(F.min_by(F.struct("id", "order", "size", "sign"), F.struct(left, "order", "id")).alias("best"))
             .withColumnRenamed("source", "s")
         )
-        best = written(best, "flips")
+        best = written(best, "flips", _FILES)
         if best.isEmpty():
             break
         added = F.when(F.col("best").isNotNull(), F.concat("flips", F.array("best"))).otherwise(F.col("flips"))
-        state = written(state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("flips", added).drop("s", "best"), "thresholds")
+        state = written(state.join(best, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("flips", added).drop("s", "best"), "thresholds", _FILES)
     return state
 
 
@@ -239,7 +241,7 @@ def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.
     totals = sizes.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n")).alias("total"), F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).alias("docs")
     )
-    return thresholds(sized, tilts(sizes, written(targets(totals, weights, share, cap), "targets"), cap), cap)
+    return thresholds(sized, tilts(sizes, written(targets(totals, weights, share, cap), "targets", _FILES), cap), cap)
 
 
 def mix(

@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 
 from ._common import extended, forgotten, small_batches, task_id, written
 
-CHUNK = 1 << 14
+CHUNK = 1 << 15
 GIANT = 2 * CHUNK
 FAN = 64
 _SPACE = "▁"
-_MEMO, _MEMO_WORD = 250_000, 48  # strings in the memo, some 220 bytes each with their ids, and characters of one
-_PAIRS = 300_000  # some 100 bytes each
+_MEMO, _MEMO_WORD = 200_000, 48  # strings in the memo, some 220 bytes each with their ids, and characters of one
+_PAIRS = 250_000  # some 100 bytes each
 _DEAD = float("-inf")
 
 #: A state at a cut: how many characters the last piece reaches beyond it, and that piece's id where the model asks for it.
@@ -222,16 +222,21 @@ class Model:
         row = self.ways(text[last:], size - last, [(0, _START)])[0, _START]
         return {s: {end: x + middle + y for end, y in row.items()} for s, x in column.items()}
 
-    def trace(self, text: str, size: int, start: State, end: State) -> list[int]:
-        """The ids of the pieces that begin in a chunk, on the best way from one edge state to the other."""
-        cuts = self.hard(text[:size])
-        if cuts is None:
-            return list(self.ids_of(self.back(text, size, start, end)))
-        first, last = cuts
-        out = list(self.ids_of(self.back(text[:first], first, start, None)))
-        out += self.encode_parts([self.parts(text[first:last])])[0].tolist()
-        out += self.ids_of(self.back(text[last:], size - last, (0, _START), end))
-        return out
+    def trace(self, stretches: Iterable[tuple[str, int, State, State]]) -> list[list[int]]:
+        """For chunks (text, size, start, end), each by itself, the ids of the pieces that begin in it, on the best way from one edge state to the other."""
+        out, middles = [], []
+        for text, size, start, end in stretches:
+            cuts = self.hard(text[:size])
+            if cuts is None:
+                out.append((list(self.ids_of(self.back(text, size, start, end))), []))
+                middles.append([])
+                continue
+            first, last = cuts
+            out.append((
+                list(self.ids_of(self.back(text[:first], first, start, None))), list(self.ids_of(self.back(text[last:], size - last, (0, _START), end))),
+            ))
+            middles.append(self.parts(text[first:last]))
+        return [left + middle.tolist() + right for (left, right), middle in zip(out, self.encode_parts(middles))]
 
     def back(self, text: str, size: int, start: State, end: State | None) -> list[int]:
         """The pieces on the best way from one state to the other; no ``end`` is the best one at ``size`` exactly."""
@@ -298,7 +303,7 @@ class Model:
         """Ids of a normal text of any length by chunks, here one after the other."""
         parts = list(chunks(self, text, size))
         states = walk([chunk_matrix(self, *part) for part in parts])
-        return [i for (_, body, after), a, b in zip(parts, states, states[1:]) for i in self.trace(body + after, len(body), a, b)]
+        return sum(self.trace((body + after, len(body), a, b) for (_, body, after), a, b in zip(parts, states, states[1:])), [])
 
     def ids_of(self, pieces: Iterable[int]) -> Iterator[int]:
         """Ids for pieces; an unknown character becomes its bytes where the model has them."""
@@ -493,11 +498,13 @@ def encode(
     def traced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for frame in frames:
-            found = [
-                model.trace(body + after, len(body), tuple(map(int, start)), tuple(map(int, end)))
-                for body, after, start, end in zip(frame.body, frame.after, frame.start, frame.end)
-            ]
-            yield pd.DataFrame({"id": frame.id, "doc": frame.doc, "place": frame.place, "ids": found})
+            for at in range(0, len(frame), 32):
+                part = frame.iloc[at:at + 32]
+                found = model.trace(
+                    (body + after, len(body), tuple(map(int, start)), tuple(map(int, end)))
+                    for body, after, start, end in zip(part.body, part.after, part.start, part.end)
+                )
+                yield pd.DataFrame({"id": part.id, "doc": part.doc, "place": part.place, "ids": pd.Series(found, index=part.index)})
 
     def forgetting(work):  # noqa: ANN001, ANN202
         return lambda batches: forgotten(work(batches), lambda: shared.value.forget())

@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import sha1
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ SPACE = 1 << 20
 PREFIXES = (3, 4, 5)
 MIN_DOCS = 3
 FACTORS = 4
-PAIR_ROWS = 2000
+PAIR_ROWS = 1500
 STEPS = 400
 RATE = 0.1
 DECAY = 3e-6
@@ -236,10 +237,11 @@ def train(
                 found.append(row.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["y", "terms"])
 
-    table = texts.select("y", "t").mapInArrow(of, "y int, terms binary").toPandas()
-    order = sorted(range(len(table)), key=lambda i: (table["terms"].iat[i], table["y"].iat[i]))
-    rows = [np.frombuffer(table["terms"].iat[i], np.int32) for i in order]
-    return fit(rows, (table["y"].to_numpy()[order] > 0).astype(np.int8))
+    table = texts.select("y", "t").mapInArrow(of, "y int, terms binary").toArrow().combine_chunks()
+    labels = table["y"].to_numpy()
+    rows = [np.frombuffer(b.as_buffer(), np.int32) for b in table["terms"]]
+    order = sorted(range(len(rows)), key=lambda i: (sha1(rows[i]).digest(), labels[i]))
+    return fit([rows[i] for i in order], (labels[order] > 0).astype(np.int8))
 
 
 def scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

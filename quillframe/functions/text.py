@@ -27,10 +27,10 @@ def collapsed(x: Column) -> Column:
 
 
 def without_particle(x: Column, particle: str = "de") -> Column:
-    """A name without the particle at its start, between words and at its end."""
-    x = F.regexp_replace(filled(x), rf"(?iU)^\s*{particle}\s+", "")
-    x = F.regexp_replace(x, rf"(?iU)\s+{particle}\s+", " ")
-    return collapsed(F.regexp_replace(x, rf"(?iU)\s+{particle}\s*$", ""))
+    """A name without the particle between words, where a word ends it, and where a word begins with it."""
+    x = F.regexp_replace(filled(x), rf"(?iU)\s+{particle}\s+", " ")
+    x = F.regexp_replace(x, rf"(?iU)\s+{particle}\b", " ")
+    return collapsed(F.regexp_replace(x, rf"(?iU)\b{particle}\s+", " "))
 
 
 def last_word(x: Column) -> Column:
@@ -51,7 +51,7 @@ def phonetic_code(x: Column) -> Column:
     """Initial and three digits; vowels and H, W, Y all separate equal digits. Empty for no letters."""
     letters = F.regexp_replace(F.upper(filled(x)), "[^A-Z]", "")
     digits = F.regexp_replace(F.translate(letters, *_DIGITS_OF), r"(.)\1+", "$1")
-    tail = F.regexp_replace(F.substring(digits, 2, 1 << 20), "0", "")
+    tail = F.regexp_replace(F.substring(digits, F.lit(2), F.length(digits)), "0", "")
     return F.when(letters == "", F.lit("")).otherwise(F.rpad(F.concat(F.substring(letters, 1, 1), F.substring(tail, 1, 3)), 4, "0"))
 
 

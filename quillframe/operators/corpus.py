@@ -82,7 +82,6 @@ def substituted_text(classified: DataFrame, doc: str, pos: str, token: str) -> D
 
 def expand_class(unigrams: DataFrame, names: DataFrame, label: str, token: str = "token", log_prob: str = "log_prob", frequency: str = "n") -> DataFrame:
     """Unigrams with a class spread over its names: log10 p(class) + log10 of a name's share; tokens already there are passed over."""
-    share = F.log10(F.col(frequency) / F.sum(frequency).over(Window.partitionBy()))
     p = unigrams.where(F.col(token) == label).agg(F.max(log_prob).alias("__p"))
     shares = names.select(token, frequency).crossJoin(F.broadcast(names.agg(F.sum(frequency).alias("__total"))))
     added = shares.select(token, (F.log10(F.col(frequency) / F.col("__total"))).alias("__share")).crossJoin(F.broadcast(p))
@@ -108,11 +107,22 @@ def cumulative_shares(df: DataFrame, by: Sequence[str], weight: str, order: Sequ
 
 
 def weighted_draws(df: DataFrame, by: str, weight: str, order: Sequence[Column], draws: DataFrame, draw_id: str, seed: int = 7) -> DataFrame:
-    """For every draw of a group one of its rows, with probability by weight: the row whose stretch of cumulative shares holds a hash of the draw's id."""
-    u = (F.pmod(F.xxhash64(F.col(draw_id), F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    table = cumulative_shares(df, [by], weight, order)
-    hit = (F.col("__u") < F.col("upto")) & (F.col("__u") >= F.col("upto") - F.col("share"))
-    return draws.withColumn("__u", u).join(table, by).where(hit).drop("__u")
+    """For every draw of a group one of its rows, with probability by whole ``weight``: the row whose stretch of the weights laid end to end holds a hash of the draw's id.
+
+    Rows and draws of a group are put in one order, in which a draw takes the
+    last row before it, so no draw meets every row.
+    """
+    w = Window.partitionBy(by)
+    rows = df.where(F.col(weight) > 0)
+    rows = rows.withColumn("__at", F.sum(weight).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - F.col(weight))
+    totals = rows.groupBy(by).agg(F.sum(weight).alias("__total"))
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(draw_id).cast("string"), F.lit(seed)).cast("binary")), 1, 15), 16, 10).cast("long")
+    asked = draws.join(totals, by).select(by, F.pmod(u, F.col("__total")).alias("__at"), F.lit(1).alias("__kind"), F.struct(*draws.columns).alias("__draw"))
+    others = [c for c in df.columns if c != by]
+    laid = rows.select(by, "__at", F.lit(0).alias("__kind"), F.struct(*others).alias("__row"))
+    both = laid.unionByName(asked, allowMissingColumns=True)
+    last = F.last("__row", ignorenulls=True).over(w.orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0))
+    return both.withColumn("__row", last).where(F.col("__kind") == 1).select("__draw.*", *[F.col("__row")[c].alias(c) for c in others if c not in draws.columns])
 
 
 def nucleus(df: DataFrame, by: Sequence[str], weight: str, order: Sequence[Column], mass: float = 0.9) -> DataFrame:
@@ -149,12 +159,13 @@ def training_lines(df: DataFrame, read: str, corrected: str, polygon: str | None
     return df.where(fit & F.col(polygon).isNotNull() if polygon else fit)
 
 
-def replication(df: DataFrame, id_col: str, text_col: str, least: int, most: int = 64) -> DataFrame:
-    """(id_col, copies): copies by which every symbol of at least one text reaches ``least`` occurrences, if ``most`` copies suffice.
+def replication(df: DataFrame, id_col: str, text_col: str, least: int, excluded: Sequence[str] = ()) -> DataFrame:
+    """(id_col, copies): copies by which every symbol of a text, but those ``excluded``, reaches ``least`` occurrences.
 
-    A text is repeated for its rarest symbol.
+    A text is repeated for its rarest symbol; without a symbol to repeat it for, it stays once.
     """
     has = df.select(id_col, F.explode(F.array_distinct(to_symbols(F.col(text_col)))).alias("symbol"))
     total = df.select(F.explode(to_symbols(F.col(text_col))).alias("symbol")).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    need = total.select("symbol", F.least(F.ceil(F.lit(least) / F.col("n")), F.lit(most)).cast("int").alias("copies"))
-    return has.join(need, "symbol").groupBy(id_col).agg(F.max("copies").alias("copies"))
+    need = total.where(~F.col("symbol").isin(*excluded)).select("symbol", F.ceil(F.lit(least) / F.col("n")).cast("int").alias("copies"))
+    most = has.join(need, "symbol").groupBy(id_col).agg(F.max("copies").alias("copies"))
+    return df.select(id_col).join(most, id_col, "left").select(id_col, F.coalesce("copies", F.lit(1)).alias("copies"))

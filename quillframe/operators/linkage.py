@@ -95,7 +95,11 @@ def name_similarity(a: Column, b: Column) -> Column:
     """1 if the surnames sound alike or are nearly equal, else the ratio of the whole names."""
     sa, sb = last_word(a), last_word(b)
     code = phonetic_code(sa)
-    return F.when((code != "") & (code == phonetic_code(sb)), 1.0).when(sequence_ratio(sa, sb) >= 0.85, 1.0).otherwise(sequence_ratio(a, b))
+    alike = (code != "") & (code == phonetic_code(sb))
+    unless = lambda done, x: F.when(~F.coalesce(done, F.lit(False)), x)  # noqa: E731  a UDF runs over all rows, so those it has no part in are null
+    near = sequence_ratio(unless(alike, sa), unless(alike, sb)) >= 0.85
+    done = alike | near
+    return F.when(done, 1.0).otherwise(sequence_ratio(unless(done, a), unless(done, b)))
 
 
 def ratio_bound(a: Column, b: Column) -> Column:
@@ -143,7 +147,8 @@ def compare_fields(df: DataFrame, truth: str, other: str, field: str) -> DataFra
     full = (a != "") & (b != "")
     na, nb = last_word(without_particle(a)), last_word(without_particle(b))
     sound = is_("Agent Name") & full & (phonetic_code(na) != "") & (phonetic_code(na) == phonetic_code(nb))
-    near = is_("Agent Name") & full & (sequence_ratio(na, nb) >= 0.85)
+    asked = is_("Agent Name") & full & ~sound
+    near = asked & (sequence_ratio(F.when(asked, na), F.when(asked, nb)) >= 0.85)
     first = lambda s: F.regexp_extract(F.lower(s), r"(\w+)", 1)
     shared = lambda n, besides=(): F.arrays_overlap(_words(a, n, besides), _words(b, n, besides))
     special = (
@@ -163,6 +168,8 @@ def compare_fields(df: DataFrame, truth: str, other: str, field: str) -> DataFra
         .when((x == "") & (y == ""), "both_empty").when((x == "") | (y == ""), "one_empty")
         .when(squeezed(x) == squeezed(y), "exact_match").otherwise("ratio")
     )
-    out = df.withColumn("basis", basis).withColumn("__ratio", F.when(F.col("basis") == "ratio", sequence_ratio(x, y)))
+    out = df.withColumn("basis", basis)
+    left = F.col("basis") == "ratio"
+    out = out.withColumn("__ratio", F.when(left, sequence_ratio(F.when(left, x), F.when(left, y))))
     sim = F.when(F.col("basis") == "one_empty", 0.0).when(F.col("basis") == "ratio", F.col("__ratio")).otherwise(1.0)
     return out.withColumn("similarity", sim).withColumn("is_match", F.col("similarity") >= threshold).drop("__ratio")

@@ -23,8 +23,19 @@ def deletions(term: Column, edits: int = 2) -> Column:
 
 
 def delete_keys(vocabulary: DataFrame, term: str, edits: int = 2) -> DataFrame:
-    """The dictionary of a vocabulary: a row for each key of each term, to be kept as a table and reused."""
-    return vocabulary.withColumn("key", F.explode(deletions(F.lower(term), edits)))
+    """The dictionary of a vocabulary: a row for each key of each term, to be kept as a table and reused.
+
+    A term has as many letters left out as the longest word it can be found by allows.
+    """
+    return vocabulary.withColumn("key", F.explode(_keys(F.lower(term), edit_limit(F.concat(F.col(term), F.lit("  "))), edits)))
+
+
+def _keys(term: Column, limit: Column, edits: int) -> Column:
+    """Deletion keys of a term with at most ``limit`` letters left out, and at most ``edits``."""
+    keys = F.when(limit <= 0, deletions(term, 0))
+    for n in range(1, edits):
+        keys = keys.when(limit <= n, deletions(term, n))
+    return keys.otherwise(deletions(term, edits))
 
 
 def edit_candidates(queries: DataFrame, query: str, dictionary: DataFrame, term: str, edits: int = 2, ratio: bool = False) -> DataFrame:
@@ -33,10 +44,11 @@ def edit_candidates(queries: DataFrame, query: str, dictionary: DataFrame, term:
     ``dictionary`` comes from ``delete_keys`` with as many edits. Distance is
     Levenshtein on lower case; ``ratio`` asks for similar lengths too.
     """
-    q = queries.withColumn("__key", F.explode(deletions(F.lower(query), edits)))
-    pairs = q.join(dictionary, q["__key"] == dictionary["key"]).drop("__key", "key").dropDuplicates([*queries.columns, term])
+    q = queries.withColumn("__key", F.explode(_keys(F.lower(query), edit_limit(F.col(query)), edits)))
+    pairs = q.join(dictionary, q["__key"] == dictionary["key"]).drop("__key", "key")
     distance = F.levenshtein(F.lower(query), F.lower(term))
     pairs = pairs.withColumn("distance", distance).where(F.col("distance") <= F.least(edit_limit(F.col(query)), F.lit(edits)))
+    pairs = pairs.dropDuplicates([*queries.columns, term])
     return pairs.where(length_ratio_fits(F.col(term), F.col(query))) if ratio else pairs
 
 

@@ -22,21 +22,32 @@ def conditional_counts(df: DataFrame, by: Sequence[str], cases: dict[str, Column
 
 
 def rollup_grains(df: DataFrame, a: str, b: str, value: str, matched: str, case: str) -> DataFrame:
-    """Statistics over everything, by ``a``, by ``b`` and by both: grouping sets of one pass.
+    """Statistics over everything, by ``a``, by ``b`` and by both: grouping sets over counts of equal values, and over distinct cases.
 
     (grain, a, b, total, matches, accuracy, mean, median, least, most, spread,
     cases). Empty groups do not occur; one row has spread 0. Means and the like
     are rounded half to even at 4 places, accuracy in percent at 2.
     """
-    n = F.count(F.lit(1))
-    out = df.groupingSets([[], [F.col(a)], [F.col(b)], [F.col(a), F.col(b)]], a, b).agg(
-        F.grouping_id().alias("__grain"), n.alias("total"), F.count_if(F.col(matched)).alias("matches"),
-        F.bround(100.0 * F.count_if(F.col(matched)) / n, 2).alias("accuracy"), F.bround(F.avg(value), 4).alias("mean"),
-        F.bround(F.median(value), 4).alias("median"), F.bround(F.min(value), 4).alias("least"), F.bround(F.max(value), 4).alias("most"),
-        F.bround(F.coalesce(F.stddev_samp(value), F.lit(0.0)), 4).alias("spread"), F.count_distinct(case).alias("cases"),
+    sets = [[], [F.col(a)], [F.col(b)], [F.col(a), F.col(b)]]
+    values = df.groupBy(a, b, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(matched)).alias("__m"))
+    centre = values.agg(F.sum(F.col("__v") * F.col("__n")).alias("s"), F.sum(F.when(F.col("__v").isNotNull(), F.col("__n"))).alias("n"))
+    values = values.crossJoin(F.broadcast(centre.select(F.try_divide("s", "n").alias("__c"))))  # of one row; sums of squares are taken around it
+    n, known = F.sum("__n"), F.sum(F.when(F.col("__v").isNotNull(), F.col("__n")))
+    off = (F.col("__v") - F.col("__c")) * F.col("__n")
+    square = F.greatest(F.sum(off * (F.col("__v") - F.col("__c"))) - F.sum(off) * F.sum(off) / known, F.lit(0.0))
+    of_values = values.groupingSets(sets, a, b).agg(
+        F.grouping_id().alias("__grain"), n.alias("total"), F.sum("__m").alias("matches"), F.bround(100.0 * F.sum("__m") / n, 2).alias("accuracy"),
+        F.bround(F.sum(F.col("__v") * F.col("__n")) / known, 4).alias("mean"), F.bround(F.percentile("__v", 0.5, F.col("__n")), 4).alias("median"),
+        F.bround(F.min("__v"), 4).alias("least"), F.bround(F.max("__v"), 4).alias("most"),
+        F.bround(F.when(known > 1, F.sqrt(square / (known - 1))).otherwise(0.0), 4).alias("spread"),
     )
+    of_cases = df.select(a, b, case).distinct().groupingSets(sets, a, b).agg(F.grouping_id().alias("__g"), F.count_distinct(case).alias("cases"))
+    of_cases = of_cases.withColumnsRenamed({a: "__a", b: "__b"})
+    same = (F.col("__grain") == F.col("__g")) & F.col(a).eqNullSafe(F.col("__a")) & F.col(b).eqNullSafe(F.col("__b"))
+    out = of_values.join(of_cases, same)
     names = F.array(*map(F.lit, (f"{a},{b}", a, b, "all")))
-    return out.select(F.element_at(names, (F.col("__grain") + 1).cast("int")).alias("grain"), a, b, *out.columns[3:])
+    figures = ("total", "matches", "accuracy", "mean", "median", "least", "most", "spread", "cases")
+    return out.select(F.element_at(names, (F.col("__grain") + 1).cast("int")).alias("grain"), a, b, *figures)
 
 
 def histogram(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

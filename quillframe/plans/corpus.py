@@ -183,10 +183,10 @@ CATALOGUE = {
     "class_lm_expand": (class_lm_expand, "WITH o AS (SELECT o_orderpriority AS token, log10(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()) AS p FROM orders GROUP BY 1), c AS (SELECT c_mktsegment AS token, log10(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()) AS s FROM customer GROUP BY 1) SELECT token, round(p, 9) AS log_prob FROM o UNION ALL SELECT c.token, round(o.p + c.s, 9) FROM c, o WHERE o.token = '1-URGENT' AND c.token NOT IN (SELECT token FROM o)"),
     "cumulative_weights": (cumulative_weights, "WITH x AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2) SELECT p_brand, p_type, n, round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY p_brand), 9) AS share, round(CAST(sum(n) OVER (PARTITION BY p_brand ORDER BY n DESC, p_type ROWS UNBOUNDED PRECEDING) AS DOUBLE) / sum(n) OVER (PARTITION BY p_brand), 9) AS upto FROM x"),
     "nucleus_cut": (nucleus_cut, "WITH x AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2), y AS (SELECT *, sum(n) OVER (PARTITION BY p_brand ORDER BY n DESC, p_type ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY p_brand) AS total FROM x) SELECT p_brand, p_type, n FROM y WHERE CAST(upto AS DOUBLE) / total - CAST(n AS DOUBLE) / total < CAST(0.75 AS DOUBLE)"),
-    "weighted_sample": (weighted_sample, None),
+    "weighted_sample": (weighted_sample, "WITH n AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2), c AS (SELECT *, sum(n) OVER (PARTITION BY p_brand ORDER BY p_type ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY p_brand) AS total FROM n), u AS (SELECT p_partkey, p_brand, CAST(('0x' || substr(md5(p_partkey || ':7'), 1, 15)) AS BIGINT) AS u FROM part) SELECT p_partkey, u.p_brand, p_type FROM u JOIN c ON u.p_brand = c.p_brand AND u.u % CAST(total AS BIGINT) < upto AND u.u % CAST(total AS BIGINT) >= upto - n"),
     "split_hash": (split_hash, "WITH x AS (SELECT doc_id, CAST(('0x' || substr(md5(doc_id || ':42'), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS u FROM documents) SELECT doc_id, CASE WHEN u < CAST(0.8 AS DOUBLE) THEN 'train' WHEN u < CAST(0.9 AS DOUBLE) THEN 'val' ELSE 'test' END AS split FROM x"),
     "symbol_coverage": (symbol_coverage, "SELECT s AS symbol FROM (SELECT unnest(string_split('abcdefghijklmnopqrstuvwxyz0123456789#&', '')) AS s) WHERE s NOT IN (SELECT unnest(string_split(p_name, '')) FROM part)"),
-    "replication_copies": (replication_copies, "WITH s AS (SELECT n_nationkey, unnest(string_split(n_name, '')) AS c FROM nation), t AS (SELECT c, least(CAST(ceil(60.0 / count(*)) AS BIGINT), 64) AS k FROM s GROUP BY 1) SELECT n_nationkey, max(k) AS copies FROM s JOIN t USING (c) GROUP BY 1"),
+    "replication_copies": (replication_copies, "WITH s AS (SELECT n_nationkey, unnest(string_split(n_name, '')) AS c FROM nation), t AS (SELECT c, CAST(ceil(60.0 / count(*)) AS BIGINT) AS k FROM s GROUP BY 1) SELECT n_nationkey, max(k) AS copies FROM s JOIN t USING (c) GROUP BY 1"),
     "training_lines": (training_lines, "SELECT p_partkey FROM part WHERE length(p_name) >= 4 AND regexp_matches(p_name, '^[ &''\\-;A-Za-z]*$') AND 1 - levenshtein(replace(p_name, 'e', 'c'), p_name) / CAST(length(p_name) AS DOUBLE) >= CAST(0.9 AS DOUBLE)"),
     "ngram_occurrences": (ngram_occurrences, "WITH a AS (SELECT replace(lower(n_name), ' ', '') AS s FROM nation), w AS (SELECT DISTINCT unnest(list_transform(range(1, greatest(length(s) - 1, 1)), lambda i: substr(s, i, 3))) AS gram FROM a), b AS (SELECT p_partkey, replace(p_name, ' ', '') AS s FROM part), g AS (SELECT DISTINCT p_partkey, unnest(list_transform(range(1, greatest(length(s) - 1, 1)), lambda i: substr(s, i, 3))) AS gram FROM b) SELECT gram, p_partkey FROM g JOIN w USING (gram) QUALIFY row_number() OVER (PARTITION BY gram ORDER BY p_partkey) <= 3"),
     "document_char_ngrams": (document_char_ngrams, None),

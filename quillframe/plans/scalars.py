@@ -37,7 +37,7 @@ def normalise_writ_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 def name_parts(spark: SparkSession, d: str) -> DataFrame:
-    name = F.concat(F.lit("William de "), F.initcap(F.regexp_replace("c_name", "[^A-Za-z]+", " ")), F.lit(" de Lacy"))
+    name = F.concat(F.lit("William de "), F.initcap(F.regexp_replace("c_name", "[^A-Za-z]+", " ")), F.lit(" de Lacy de-la De, de"))
     return t(spark, d, "customer").select(
         "c_custkey", text.without_particle(name).alias("plain"), text.last_word(name).alias("surname"), text.first_word(name).alias("forename"),
         text.squeezed(name).alias("squeezed"), text.shortened(name, 20).alias("short"), text.safe_key(F.col("c_name")).alias("key"),
@@ -119,7 +119,7 @@ CATALOGUE = {
     "regnal_calendar": (regnal_calendar, "WITH r AS (SELECT DISTINCT p_partkey % 110 + 545 AS roll FROM part), y AS (SELECT roll, CASE WHEN roll BETWEEN 555 AND 650 THEN 1399 + (roll - 552) // 4 END AS year, CASE WHEN roll BETWEEN 555 AND 650 THEN (['Hilary', 'Easter', 'Trinity', 'Michaelmas'])[(roll - 552) % 4 + 1] END AS term FROM r) SELECT roll, CAST(year AS BIGINT) AS year, term, CASE WHEN year IS NULL THEN NULL WHEN year > 1422 OR (year = 1422 AND term = 'Michaelmas') THEN (year - 1422 + CASE WHEN term = 'Michaelmas' THEN 1 ELSE 0 END) || ' Henry VI' WHEN year > 1413 OR (year = 1413 AND term <> 'Hilary') THEN (year - 1413 + CASE WHEN term <> 'Hilary' THEN 1 ELSE 0 END) || ' Henry V' ELSE (year - 1399 + CASE WHEN term = 'Michaelmas' THEN 1 ELSE 0 END) || ' Henry IV' END AS regnal FROM y"),
     "normalise_money": (normalise_money, "SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN CAST(floor(o_totalprice) AS BIGINT) || ' pounds' WHEN 1 THEN CAST(floor(o_totalprice) AS BIGINT) || ' pounds' WHEN 2 THEN CAST(floor(o_totalprice) AS BIGINT) || ' shillings' WHEN 3 THEN CAST(floor(o_totalprice) AS BIGINT) || ' pounds' WHEN 4 THEN CAST(floor(o_totalprice) AS BIGINT) || ' marks' ELSE '' END AS sum FROM orders"),
     "normalise_writ_date": (normalise_writ_date, "SELECT o_orderkey, o_orderpriority AS writ, strftime(o_orderdate, '%Y-%m-%d') || '; ' || strftime(o_orderdate, '%Y-%m-%d') AS dates FROM orders"),
-    "name_parts": (name_parts, "WITH n AS (SELECT c_custkey, c_name, trim(regexp_replace(c_name, '[^A-Za-z]+', ' ', 'g')) AS m FROM customer), x AS (SELECT *, upper(substr(m, 1, 1)) || lower(substr(m, 2)) AS i FROM n) SELECT c_custkey, 'William ' || i || ' Lacy' AS plain, 'Lacy' AS surname, 'William' AS forename, lower('Williamde' || i || 'deLacy') AS squeezed, substr('William de ' || i || CASE WHEN regexp_matches(c_name, '[^A-Za-z]$') THEN ' ' ELSE '' END || ' de Lacy', 1, 20) || '...' AS short, regexp_replace(c_name, '[^A-Za-z0-9_-]', '_', 'g') AS key FROM x"),
+    "name_parts": (name_parts, "WITH n AS (SELECT c_custkey, c_name, trim(regexp_replace(c_name, '[^A-Za-z]+', ' ', 'g')) AS m FROM customer), x AS (SELECT *, upper(substr(m, 1, 1)) || lower(substr(m, 2)) AS i FROM n) SELECT c_custkey, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace('William de ' || i || ' de Lacy de-la De, de', '\\s+de\\s+', ' ', 'gi'), '\\s+de\\b', ' ', 'gi'), '\\bde\\s+', ' ', 'gi'), '\\s+', ' ', 'g')) AS plain, 'de' AS surname, 'William' AS forename, lower('Williamde' || i || 'deLacyde-laDe,de') AS squeezed, substr('William de ' || i || CASE WHEN regexp_matches(c_name, '[^A-Za-z]$') THEN ' ' ELSE '' END || ' de Lacy', 1, 20) || '...' AS short, regexp_replace(c_name, '[^A-Za-z0-9_-]', '_', 'g') AS key FROM x"),
     "forenames": (forenames, "WITH x AS (SELECT CASE c_custkey % 4 WHEN 3 THEN NULL ELSE upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) END AS forename FROM customer) SELECT forename, count(*) AS n FROM x WHERE forename IS NOT NULL GROUP BY 1"),
     "latin_forms": (latin_forms, "WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part) SELECT word, translate(lower(word), 'jv', 'iu') || 'iu' AS form FROM w"),
     "letter_variant_counts": (letter_variant_counts, "SELECT lower(n_name) AS word, CAST(2 ** length(regexp_replace(lower(n_name), '[^ijuv]', '', 'g')) AS BIGINT) AS n, translate(lower(n_name), 'jv', 'iu') AS first FROM nation"),

@@ -42,13 +42,20 @@ def lexicon(df: DataFrame, word: str, path: str) -> None:
 
 
 def _number(x: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.format_string("%.7f", x), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    """Seven significant digits without closing zeros; below 1e-4 and from 1e7 with an exponent of two digits."""
+    plain = lambda y: F.regexp_replace(F.regexp_replace(F.format_string("%.12f", y), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    scale = lambda y: F.floor(F.log10(F.abs(y)))
+    ten = F.pow(F.lit(10.0), 6 - scale(x))
+    near = F.when(x == 0, F.lit(0.0)).otherwise(F.round(x * ten) / ten)
+    power = scale(near).cast("int")
+    exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    return F.when((near != 0) & ((power < -4) | (power >= 7)), F.concat(plain(near / F.pow(F.lit(10.0), power)), F.lit("e"), exponent)).otherwise(plain(near))
 
 
 def arpa(df: DataFrame, path: str, specials: tuple[str, ...] = ("<unk>", "<s>", "</s>"), floor: float = -99.0) -> None:
     """An ARPA file of (order, words, log_prob, backoff): counts, then each order with special words first and likelier ones before others.
 
-    Rows are sorted over all tasks; the parts, read in order, are the file.
+    Rows are sorted over all tasks; the parts, read in the order of their names, are the file. Special words come first, whatever they weigh.
     """
     spark = df.sparkSession
     counts = {r["order"]: r["n"] for r in df.groupBy("order").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -59,4 +66,4 @@ def arpa(df: DataFrame, path: str, specials: tuple[str, ...] = ("<unk>", "<s>",
     p = F.greatest(F.col("log_prob"), F.lit(floor))
     value = F.concat_ws("\t", _number(p), text, F.when(F.col("backoff").isNotNull(), _number(F.col("backoff"))))
     rows = df.select(F.col("order").cast("int").alias("o"), F.when(text.isin(*specials), 1).otherwise(2).alias("kind"), (-p).alias("p"), text.alias("w"), value.alias("value"))
-    frame.unionByName(rows).orderBy("o", "kind", "p", "w").select("value").coalesce(1).write.mode("overwrite").text(path)
+    frame.unionByName(rows).orderBy("o", "kind", "p", "w").select("value").write.mode("overwrite").text(path)

@@ -69,7 +69,12 @@ def into(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint:
 def drained(stream: DataFrame, name: str, mode: str = "append", key: str | None = None, order: str | None = None) -> DataFrame:
     """The table that a stream has written when its source is read to the end; of updated keys the row largest by ``order``."""
     spark = stream.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='quillframe-')}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='quillframe-')}"
     at = f"{shared.rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
     how = "overwrite" if mode == "complete" else "append"
     into(stream, lambda df, i: df.write.mode(how).parquet(f"{at}/table"), f"{at}/checkpoint", mode)

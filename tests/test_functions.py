@@ -57,3 +57,19 @@ def test_similarity(spark):
     assert similarity.locate("zzzz", "John Smith") is None
     df = spark.createDataFrame([([1.0, 0.0], [1.0, 0.0]), ([1.0, 0.0], [0.0, 0.0])], "a array<float>, b array<float>")
     assert [r[0] for r in df.select(similarity.cosine(F.col("a"), F.col("b"))).collect()] == [1.0, None]
+
+
+@pytest.mark.parametrize("a,b,cost", [
+    ("i", "j", 0.1), ("u", "v", 0.1), ("n", "u", 0.15), ("c", "t", 0.2), ("a", "o", 0.3), ("b", "l", 0.3), ("g", "q", 0.3), ("e", "o", 0.35), ("f", "t", 0.7),
+    ("f", "ſ", 0.15), ("C", "T", 0.25), ("E", "t", 1.0), ("N", "v", 0.25), ("n", "ı", 0.2), ("i", "n", 0.7), ("B", "G", 0.2), ("A", "K", 0.5), ("x", "q", 1.0),
+    ("q", "y", 0.7), ("m", "w", 0.7), ("a", "e", 0.7), ("s", "ʃ", 0.5), ("d", "đ", 0.35), ("y", "z", 0.35), ("g", "y", 0.35), ("B", "W", 0.2), ("D", "P", 0.35),
+    ("k", "x", 0.7), ("ꝑ", "ꝕ", 0.2), ("2", "ꝛ", 0.3), ("c", "C", 0.1), ("1", "7", 1.0), ("þ", "ð", 0.7),
+])
+def test_letters_cost_what_hands_confuse(a, b, cost):
+    assert similarity.substitution_cost(a, b) == similarity.substitution_cost(b, a) == pytest.approx(cost)
+
+
+@pytest.mark.parametrize("a,b,distance", [("Ricardus", "ricardus", 0.0), ("cat", "cot", 0.3), ("Johannes", "Johames", 0.3), ("ab", "", 1.6), ("Wille", "Walle", 0.5), ("terra", "torra", 0.0), ("terra", "tirra", 0.5)])
+def test_weighted_distances(a, b, distance):
+    # prefixes and endings count in the same case: "Ricardus" and "ricardus" share their ending only
+    assert similarity.weighted_distance(a, b) == pytest.approx(distance)

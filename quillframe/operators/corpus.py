@@ -80,13 +80,22 @@ def substituted_text(classified: DataFrame, doc: str, pos: str, token: str) -> D
     return lists.select(doc, F.array_join(F.col("all.w"), " ").alias("text"), "replaced")
 
 
-def expand_class(unigrams: DataFrame, names: DataFrame, label: str, token: str = "token", log_prob: str = "log_prob", frequency: str = "n") -> DataFrame:
-    """Unigrams with a class spread over its names: log10 p(class) + log10 of a name's share; tokens already there are passed over."""
+def expand_class(
+    unigrams: DataFrame, names: DataFrame, label: str, token: str = "token", log_prob: str = "log_prob", frequency: str = "n", top: int = 1000,
+) -> DataFrame:
+    """Unigrams with a class spread over its names: log10 p(class) + log10 of a name's share; tokens already there are passed over.
+
+    The label keeps what the names besides the ``top`` most frequent (ties by
+    name) have of it, and goes if that is nothing.
+    """
     p = unigrams.where(F.col(token) == label).agg(F.max(log_prob).alias("__p"))
-    shares = names.select(token, frequency).crossJoin(F.broadcast(names.agg(F.sum(frequency).alias("__total"))))
-    added = shares.select(token, (F.log10(F.col(frequency) / F.col("__total"))).alias("__share")).crossJoin(F.broadcast(p))
-    added = added.select(token, (F.col("__p") + F.col("__share")).alias(log_prob)).join(unigrams, token, "left_anti")
-    return unigrams.select(token, log_prob).unionByName(added)
+    totals = names.agg(F.sum(frequency).alias("__total"))
+    most = names.orderBy(F.desc(frequency), token).limit(top).agg(F.sum(frequency).alias("__top"))
+    one = p.crossJoin(F.broadcast(totals)).crossJoin(F.broadcast(most))  # one row
+    share = F.log10(F.col(frequency) / F.col("__total"))
+    added = names.select(token, frequency).crossJoin(F.broadcast(one)).select(token, (F.col("__p") + share).alias(log_prob)).join(unigrams, token, "left_anti")
+    rest = one.where(F.col("__top") < F.col("__total")).select(F.lit(label).alias(token), (F.col("__p") + F.log10(1 - F.col("__top") / F.col("__total"))).alias(log_prob))
+    return unigrams.where(F.col(token) != label).select(token, log_prob).unionByName(rest).unionByName(added)
 
 
 def ngram_model(words: DataFrame, doc: str, pos: str, token: str) -> DataFrame:

@@ -55,3 +55,43 @@ def latest(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFr
 def cascade_delete(children: dict[str, DataFrame], gone: DataFrame, keys: dict[str, str], key: str) -> dict[str, DataFrame]:
     """Child tables without the rows of deleted parents."""
     return {n: df.join(gone.select(F.col(key).alias(keys[n])), keys[n], "left_anti") for n, df in children.items()}
+
+
+def surname_bridge(persons: DataFrame, id_col: str, surname: Column, bridge: DataFrame) -> DataFrame:
+    """(id_col, surname) for persons that the bridge lacks, in one anti-join; names without a surname get none."""
+    found = persons.select(id_col, surname.alias("surname")).where(F.coalesce(F.col("surname"), F.lit("")) != "").distinct()
+    return found.join(bridge.select(id_col).distinct(), id_col, "left_anti")
+
+
+def advanced(jobs: DataFrame, key: list[str], results: DataFrame, limit: int) -> DataFrame:
+    """Jobs after a round: those with a result become completed, or failed where it has an error, and of the pending the first ``limit`` are in progress.
+
+    Jobs left in progress without a result, as after a crash, are pending again.
+    """
+    after = jobs.join(results.select(*key, "error"), key, "left").join(results.select(*key).withColumn("__done", F.lit(True)).distinct(), key, "left")
+    status = F.when(F.col("__done") & F.col("error").isNotNull(), "failed").when(F.col("__done"), "completed").when(F.col("status") == "in_progress", "pending").otherwise(F.col("status"))
+    after = after.select(*key, status.alias("status"))
+    first = after.where(F.col("status") == "pending").orderBy(*key).limit(limit).select(*key, F.lit(True).alias("__next"))
+    return after.join(first, key, "left").select(*key, F.when(F.col("__next"), "in_progress").otherwise(F.col("status")).alias("status"))
+
+
+def split_prefixes(df: DataFrame, text: str, limit: int, longest: int) -> DataFrame:
+    """(prefix, n): the shortest beginnings that at most ``limit`` texts share, so that every search returns all it finds; ``longest`` ones stay as they are."""
+    t = F.lower(F.col(text))
+    starts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.substring(t, F.lit(1), n)))
+    counts = df.where(F.length(text) > 0).select(F.explode(starts).alias("prefix")).groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
+    above = counts.select(F.col("prefix").alias("__up"), F.col("n").alias("__n"))
+    up = F.expr("substring(prefix, 1, length(prefix) - 1)")
+    found = counts.join(above, up == F.col("__up"), "left")
+    crowded = (F.length("prefix") == 1) | (F.col("__n") > limit)
+    return found.where(crowded & ((F.col("n") <= limit) | (F.length("prefix") == longest))).select("prefix", "n")
+
+
+def unfinished(groups: DataFrame, key: str, done: DataFrame) -> DataFrame:
+    """Groups that are not done yet."""
+    return groups.join(done.select(key).distinct(), key, "left_anti")
+
+
+def requeued(images: DataFrame, key: str, processed: DataFrame, corrected: DataFrame) -> DataFrame:
+    """Images that were processed and not corrected, to be taken again."""
+    return images.join(processed.select(key).distinct(), key, "left_semi").join(corrected.select(key).distinct(), key, "left_anti")

@@ -41,3 +41,9 @@ def issue_summary(issues: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("issues"), F.count_if(F.col("severity") == "critical").alias("critical"),
         F.array_join(F.array_sort(F.collect_set("issue")), ",").alias("kinds"),
     )
+
+
+def junk_names(df: DataFrame, name: str, short: Sequence[str] = ("Al", "Ed", "Jo", "Ro")) -> DataFrame:
+    """Rows whose name holds an underscore or two dashes, begins with a dash, is a capital and a dash, or has two characters at most and is no known ``short`` name."""
+    n = F.col(name)
+    return df.where(n.rlike("_|--|^[A-Z]-$|^-") | ((F.length(n) <= 2) & ~n.isin(*short)))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import edit_limit, filled, length_ratio_fits
+from ..functions.similarity import entity_position
+from ..functions.text import edit_limit, filled, length_ratio_fits, stems
 
 
 def deletions(term: Column, edits: int = 2) -> Column:
@@ -110,3 +111,72 @@ def low_confidence(scored: DataFrame, entity: str, term: str, below: float = 0.9
 def substituted(text: Column, pairs: Column) -> Column:
     """A text with every original of an array of structs (original, corrected) replaced by its correction, one after the other."""
     return F.aggregate(pairs, text, lambda t, p: F.when(F.length(p["original"]) > 0, F.replace(t, p["original"], p["corrected"])).otherwise(t))
+
+
+def typed_dictionary(forms: DataFrame, edits: int = 2) -> DataFrame:
+    """Deletion keys of forms (kind, form, english, declension, n), one row for each form, English name and declension with its largest n; to be kept as a table."""
+    best = forms.groupBy("kind", "form", "english", "declension").agg(F.max("n").alias("n"))
+    return delete_keys(best, "form", edits)
+
+
+def typed_candidates(
+    entities: DataFrame, dictionary: DataFrame, endings: tuple[str, ...] = (), edits: int = 2, keep: int = 50,
+) -> DataFrame:
+    """(entity, kind, text, term, english, distance, n, origin, place): candidates of entities (entity, kind, text, declension) of their own kind.
+
+    ``origin`` says how a form was first found: ``exact`` (in the entity's
+    declension, where it has one), ``english`` (by the English name), ``edit``
+    (within the edits allowed for the text's length, j also written i), or
+    ``stem`` (beginning with what is left of the text without an ending, within
+    two edits). Of each form the nearest finding stays; nearest, then most
+    frequent first. All joins are by kind and an equal key.
+    """
+    forms = dictionary.drop("key").distinct().withColumnsRenamed({"kind": "__kind", "declension": "__declension"})
+    low = lambda c: F.lower(filled(F.col(c)))
+    of_kind = F.col("kind") == F.col("__kind")
+    fits = F.col("declension").isNull() | F.col("__declension").isNull() | (F.col("declension") == F.col("__declension"))
+    columns = ["entity", "kind", "text", "form", "english", "n", "distance", "origin", "__rank"]
+
+    def found(pairs: DataFrame, origin: str, rank: int) -> DataFrame:
+        pairs = pairs.withColumn("distance", i_j_distance(F.col("text"), F.col("form")))
+        return pairs.withColumn("origin", F.lit(origin)).withColumn("__rank", F.lit(rank)).select(*columns)
+
+    exact = found(entities.join(forms, of_kind & (low("text") == low("form"))).where(fits), "exact", 0)
+    english = found(entities.join(forms, of_kind & (low("text") == low("english"))), "english", 1)
+    swapped = F.array_distinct(F.array(low("text"), F.replace(low("text"), F.lit("j"), F.lit("i"))))
+    q = entities.withColumn("__t", F.explode(swapped)).withColumn("__key", F.explode(_keys(F.col("__t"), edit_limit(F.col("text")), edits)))
+    keyed = dictionary.withColumnsRenamed({"kind": "__kind", "declension": "__declension"})
+    edit = found(q.join(keyed, of_kind & (F.col("__key") == F.col("key"))), "edit", 2)
+    edit = edit.where(F.col("distance") <= F.least(edit_limit(F.col("text")), F.lit(edits)))
+    out = exact.unionByName(english).unionByName(edit)
+    if endings:
+        cut = entities.withColumn("__stem", F.explode(stems(F.col("text"), endings)))
+        beginnings = F.transform(F.sequence(F.lit(1), F.greatest(F.length("form"), F.lit(1))), lambda n: F.substring(F.lower("form"), F.lit(1), n))
+        begun = forms.withColumn("__begin", F.explode(beginnings))
+        out = out.unionByName(found(cut.join(begun, of_kind & (F.col("__stem") == F.col("__begin"))), "stem", 3).where(F.col("distance") <= 2))
+    order = F.struct("distance", "__rank", (-F.col("n")).alias("m"), "english")
+    best = out.groupBy("entity", "kind", "text", F.col("form").alias("term")).agg(F.min_by(F.struct("english", "distance", "n", "origin"), order).alias("x"))
+    best = best.select("entity", "kind", "text", "term", "x.*")
+    return nearest_terms(best, "entity", "term", "n", keep)
+
+
+def applied(entities: DataFrame, best: DataFrame, line: str, as_written: tuple[str, ...] = ("forename",)) -> DataFrame:
+    """Entities (entity, kind, text, and the ``line`` they stand in) with ``start``, ``end``, ``original`` as the line has it, ``corrected`` and ``status``.
+
+    ``best`` has (entity, term). ``status`` is ``bayesian_corrected`` where the
+    term differs from what the line has, in case too for kinds ``as_written``,
+    else ``original``; an entity without a candidate or a place keeps its text.
+    """
+    found = entities.join(best.select("entity", "term"), "entity", "left").withColumn("__at", entity_position(F.col("text"), F.col(line)))
+    found = found.withColumn("start", F.col("__at.start")).withColumn("end", F.col("__at.end"))
+    found = found.withColumn("original", F.coalesce(F.substring(F.col(line), F.col("start") + 1, F.col("end") - F.col("start")), F.col("text")))
+    found = found.withColumn("corrected", F.coalesce("term", "original"))
+    same = F.when(F.col("kind").isin(*as_written), F.col("corrected") == F.col("original")).otherwise(F.lower("corrected") == F.lower("original"))
+    return found.withColumn("status", F.when(same, "original").otherwise("bayesian_corrected")).drop("__at", "term")
+
+
+def rescored(stored: DataFrame, fresh: DataFrame, key: list[str], value: str) -> DataFrame:
+    """Stored results whose ``value`` is null get it from ``fresh``, all others stay; ``rescored`` says which."""
+    new = fresh.select(*key, F.col(value).alias("__new"))
+    out = stored.join(new, key, "left").withColumn("rescored", F.col(value).isNull() & F.col("__new").isNotNull())
+    return out.withColumn(value, F.coalesce(value, "__new")).select(*stored.columns, "rescored")

@@ -1,8 +1,8 @@
 """The query catalogue: every operator applied to the public test tables, with the SQL that gives the same rows."""
 
-from . import corpus, entities, relational, scalars
+from . import corpus, entities, language, records, relational, scalars
 
-_PARTS = (relational, scalars, corpus, entities)
+_PARTS = (relational, scalars, corpus, language, entities, records)
 
 
 def queries() -> dict:

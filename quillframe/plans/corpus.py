@@ -65,7 +65,7 @@ def class_lm_expand(spark: SparkSession, d: str) -> DataFrame:
     total = n.agg(F.sum("n").alias("all"))
     unigrams = n.crossJoin(F.broadcast(total)).select("token", F.log10(F.col("n") / F.col("all")).alias("log_prob"))
     names = t(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("token")).agg(F.count(F.lit(1)).alias("n"))
-    return corpus.expand_class(unigrams, names, "1-URGENT").withColumn("log_prob", F.round("log_prob", 9))
+    return corpus.expand_class(unigrams, names, "1-URGENT", top=3).withColumn("log_prob", F.round("log_prob", 9))
 
 
 def cumulative_weights(spark: SparkSession, d: str) -> DataFrame:
@@ -180,7 +180,7 @@ CATALOGUE = {
     "placeholder_counts": (placeholder_counts, f"WITH {_W}, f AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS t FROM part), l AS (SELECT DISTINCT split_part(p_name, ' ', -1) AS t FROM part), c AS (SELECT CASE WHEN token IN (SELECT t FROM l) THEN 'last' WHEN token IN (SELECT t FROM f) THEN 'first' END AS class FROM w) SELECT class, count(*) AS n FROM c WHERE class IS NOT NULL GROUP BY 1"),
     "markov_transitions": (markov_transitions, f"WITH {_W}, e AS (SELECT p_partkey, pos, token FROM w UNION ALL SELECT p_partkey, max(pos) + 1, '</s>' FROM w GROUP BY 1), s AS (SELECT token, coalesce(lag(token, 2) OVER o, '<s>') || ' ' || coalesce(lag(token, 1) OVER o, '<s>') AS state FROM e WINDOW o AS (PARTITION BY p_partkey ORDER BY pos)) SELECT state, token AS next, count(*) AS n FROM s GROUP BY 1, 2"),
     "bigram_model": (bigram_model, f"WITH {_W}, p AS (SELECT token AS first, lead(token) OVER (PARTITION BY p_partkey ORDER BY pos) AS second FROM w), c AS (SELECT first, second, count(*) AS n FROM p WHERE second IS NOT NULL GROUP BY 1, 2) SELECT first, second, n, round(log10(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY first)), 9) AS log_prob FROM c"),
-    "class_lm_expand": (class_lm_expand, "WITH o AS (SELECT o_orderpriority AS token, log10(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()) AS p FROM orders GROUP BY 1), c AS (SELECT c_mktsegment AS token, log10(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()) AS s FROM customer GROUP BY 1) SELECT token, round(p, 9) AS log_prob FROM o UNION ALL SELECT c.token, round(o.p + c.s, 9) FROM c, o WHERE o.token = '1-URGENT' AND c.token NOT IN (SELECT token FROM o)"),
+    "class_lm_expand": (class_lm_expand, "WITH o AS (SELECT o_orderpriority AS token, log10(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()) AS p FROM orders GROUP BY 1), c AS (SELECT c_mktsegment AS token, log10(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER ()) AS s FROM customer GROUP BY 1) SELECT token, round(p, 9) AS log_prob FROM o WHERE token <> '1-URGENT' UNION ALL SELECT o.token, round(o.p + log10(1 - (SELECT sum(n) FROM (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment ORDER BY n DESC, c_mktsegment LIMIT 3)) / (SELECT CAST(count(*) AS DOUBLE) FROM customer)), 9) FROM o WHERE o.token = '1-URGENT' UNION ALL SELECT c.token, round(o.p + c.s, 9) FROM c, o WHERE o.token = '1-URGENT' AND c.token NOT IN (SELECT token FROM o)"),
     "cumulative_weights": (cumulative_weights, "WITH x AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2) SELECT p_brand, p_type, n, round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY p_brand), 9) AS share, round(CAST(sum(n) OVER (PARTITION BY p_brand ORDER BY n DESC, p_type ROWS UNBOUNDED PRECEDING) AS DOUBLE) / sum(n) OVER (PARTITION BY p_brand), 9) AS upto FROM x"),
     "nucleus_cut": (nucleus_cut, "WITH x AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2), y AS (SELECT *, sum(n) OVER (PARTITION BY p_brand ORDER BY n DESC, p_type ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY p_brand) AS total FROM x) SELECT p_brand, p_type, n FROM y WHERE CAST(upto AS DOUBLE) / total - CAST(n AS DOUBLE) / total < CAST(0.75 AS DOUBLE)"),
     "weighted_sample": (weighted_sample, "WITH n AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2), c AS (SELECT *, sum(n) OVER (PARTITION BY p_brand ORDER BY p_type ROWS UNBOUNDED PRECEDING) AS upto, sum(n) OVER (PARTITION BY p_brand) AS total FROM n), u AS (SELECT p_partkey, p_brand, CAST(('0x' || substr(md5(p_partkey || ':7'), 1, 15)) AS BIGINT) AS u FROM part) SELECT p_partkey, u.p_brand, p_type FROM u JOIN c ON u.p_brand = c.p_brand AND u.u % CAST(total AS BIGINT) < upto AND u.u % CAST(total AS BIGINT) >= upto - n"),

@@ -48,21 +48,21 @@ def backoff_model(df: DataFrame, tokens: str, discount: float = 0.5) -> DataFram
 
     def seen(n: int) -> DataFrame:
         counts, context = _counts(df, tokens, n), [f"w{k + 1}" for k in range(n - 1)]
-        totals = counts.groupBy(*context).agg(F.sum("n").alias("total"))
+        totals = counts.groupBy(*context).agg(F.sum("n").alias("total"), (discount * F.count(F.lit(1)) / F.sum("n")).alias("left"))
         return counts.join(totals, context).withColumn("p", (F.col("n") - discount) / F.col("total"))
 
     two, three = seen(2), seen(3)
     shorter = two.join(one.select(F.col("w1").alias("w2"), F.col("p").alias("q")), "w2")
-    rest = shorter.groupBy("w1").agg((1 - F.sum("p")).alias("left"), (1 - F.sum("q")).alias("free"))
+    rest = shorter.groupBy("w1").agg(F.max("left").alias("left"), (1 - F.sum("q")).alias("free"))
     one = one.join(rest, "w1", "full").select(
         F.lit(1).alias("order"), "w1", F.lit(None).cast("string").alias("w2"), F.lit(None).cast("string").alias("w3"), _log(F.coalesce("p", F.lit(0.0))).alias("log_prob"),
-        F.when(F.col("left").isNotNull(), _log(F.when(F.col("free") > 1e-12, F.col("left") / F.col("free")))).alias("backoff"),
+        F.when(F.col("left").isNotNull(), _log(F.when(F.col("free") > 1e-9, F.col("left") / F.col("free")))).alias("backoff"),
     )
     shorter = three.join(two.select(F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("p").alias("q")), ["w2", "w3"])
-    rest = shorter.groupBy("w1", "w2").agg((1 - F.sum("p")).alias("left"), (1 - F.sum("q")).alias("free"))
-    two = two.join(rest, ["w1", "w2"], "left").select(
+    rest = shorter.groupBy("w1", "w2").agg(F.max("left").alias("left"), (1 - F.sum("q")).alias("free"))
+    two = two.drop("left").join(rest, ["w1", "w2"], "left").select(
         F.lit(2).alias("order"), "w1", "w2", F.lit(None).cast("string").alias("w3"), _log(F.col("p")).alias("log_prob"),
-        F.when(F.col("left").isNotNull(), _log(F.when(F.col("free") > 1e-12, F.col("left") / F.col("free")))).alias("backoff"),
+        F.when(F.col("left").isNotNull(), _log(F.when(F.col("free") > 1e-9, F.col("left") / F.col("free")))).alias("backoff"),
     )
     three = three.select(F.lit(3).alias("order"), "w1", "w2", "w3", _log(F.col("p")).alias("log_prob"), F.lit(None).cast("double").alias("backoff"))
     return one.unionByName(two).unionByName(three)

@@ -15,13 +15,13 @@ import json
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import file_system, fresh_dir, small_batches, task_id, written
+from ._common import file_system, fresh_dir, partitions, small_batches, task_id, written
 
 FILE_BYTES = 64 << 20
 _STEP = 1 << 20
@@ -48,14 +48,15 @@ def record(key: str | None, url: str | None, payload: bytes, digest: str, first:
         f"WARC-Payload-Digest: sha1:{digest}",
     ]
     if key is not None:
-        fields.append(f"X-Row-ID: {key}")
+        fields.append(f"X-Row-ID: {quote(key, safe=_ID)}")
     if first is not None:
-        fields += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {named(first)}", f"X-Refers-To-Row-ID: {first}"]
+        fields += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {named(first)}", f"X-Refers-To-Row-ID: {quote(first, safe=_ID)}"]
     fields += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(fields).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 _URI = "!#$%&'()*+,/:;=?@[]~-._"
+_ID = _URI.replace("%", "")
 
 
 def fields_of(head: bytes) -> dict[str, str]:
@@ -69,6 +70,10 @@ def fields_of(head: bytes) -> dict[str, str]:
     return out
 
 
+def _plain(field: str | None) -> str | None:
+    return None if field is None else unquote(field)
+
+
 def inflate(read: Callable[[int], bytes]) -> Iterator[bytes]:
     """The plain bytes of a gzip file of one or many members, in pieces of bounded size."""
     engine, raw, begun = zlib.decompressobj(_GZIP), read(_STEP), False
@@ -103,7 +108,10 @@ def records(pieces: Iterator[bytes]) -> Iterator[bytes]:
                 if held.strip():
                     raise ValueError("a record's head is cut short")
                 return
-        whole = end + 4 + int(fields_of(bytes(held[:end]))["content-length"]) + 4
+        length = fields_of(bytes(held[:end])).get("content-length", "")
+        if not length.isdecimal():
+            raise ValueError("a record does not state its length")
+        whole = end + 4 + int(length) + 4
         while len(held) < whole:
             if not more():
                 raise ValueError("a record's block is cut short")
@@ -170,8 +178,8 @@ def write_monolithic(df: DataFrame, path: str, file_bytes: int = FILE_BYTES) ->
 
 
 def _one_each(files: DataFrame) -> DataFrame:
-    """The files of a list, dealt one to a task."""
-    return files.select("file").repartition(max(1, files.count()))
+    """The files of a list, dealt evenly, one to a task or a few where they are many."""
+    return files.select("file").coalesce(1).repartition(max(1, min(files.count(), 64 * partitions(files.sparkSession))))
 
 
 def normalise(files: DataFrame, source: str, target: str) -> DataFrame:
@@ -223,7 +231,7 @@ def read_indexed(files: DataFrame, path: str) -> DataFrame:
             payload = whole[body:end + 4 + int(head["content-length"])]
             if len(payload) != length or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
                 raise ValueError(f"{head.get('warc-record-id')}: the payload is not the one its head states")
-        return head.get("x-row-id"), length, digest, kind, head.get("x-refers-to-row-id")
+        return _plain(head.get("x-row-id")), length, digest, kind, _plain(head.get("x-refers-to-row-id"))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, at = file_system(path)

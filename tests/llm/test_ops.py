@@ -177,6 +177,41 @@ def test_warc_round_trip(spark):
     assert warc.warc_round_trip(table.limit(0)).count() == 0
 
 
+def test_warc_ids_of_any_characters(spark):
+    rows = [("a b ", "x"), (" a", "x"), ("line\r\nend: 1", "x"), ("%41", "y"), ("é😀", "y"), ("", "z")]
+    got = warc.warc_round_trip(spark.createDataFrame([(i, "u", t) for i, t in rows], "page_id string, url string, html string")).collect()
+    least = {t: min(i for i, u in rows if u == t) for _, t in rows}
+    assert {(r.page_id, r.refers_to) for r in got} == {(i, None if least[t] == i else least[t]) for i, t in rows}
+    with pytest.raises(ValueError, match="length"):
+        list(warc.records(iter([b"WARC/1.1\r\nWARC-Type: response\r\n\r\nbody"])))
+
+
+def test_queries_over_whole_tables(spark, sf):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    media_rows = queries.op2_media_columns(spark, sf).collect()
+    assert {r.doc_id: r.n_bytes for r in media_rows} == {i: len((d.text or "").encode()) for i, d in docs.items()}
+    for r in media_rows[:50]:
+        payload = (docs[r.doc_id].text or "").encode()
+        payload += b"\xff" * (max(576, -(-len(payload) // 576) * 576) - len(payload))
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+    mixed = queries.op6_mixing(spark, sf).collect()
+    assert {r.doc_id: r["size"] for r in mixed} == {i: len(re.findall(r"[^\x20\x09-\x0D]+", d.text or "")) for i, d in docs.items()}
+    totals = Counter()
+    for r in mixed:
+        totals[docs[r.doc_id].source] += r["size"]
+    want = brute_targets(totals)
+    assert all(r.source_size == totals[docs[r.doc_id].source] and r.target == pytest.approx(want[docs[r.doc_id].source]) for r in mixed)
+    pages = {r.page_id: (r.html or "").encode() for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    first = {}
+    for i in sorted(pages):
+        first.setdefault(pages[i], i)
+    for r in queries.op7_warc(spark, sf).collect():
+        p = pages[r.page_id]
+        revisit = first[p] != r.page_id
+        assert (r.payload_bytes, r.payload_digest) == (len(p), base64.b32encode(hashlib.sha1(p).digest()).decode())
+        assert (r.record_type, r.refers_to) == (("revisit", first[p]) if revisit else ("response", None))
+
+
 def test_inflate_and_records_refuse_what_is_cut_short():
     import io
 
@@ -869,6 +904,19 @@ def test_pipeline_stages(spark, sf):
         assert r.n_tokens == len(r.ids) and r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
 
 
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    import corpus_pipeline as p
+
+    more = "score double, row string, id long, fp long, size long, copies int, lang_pred string, t string, order long, component_id long, n long"
+    rows = [(i, t, "en", s, 0, *[None] * 11) for i, t, s in ODD] + [(i, f"text number {i} of the many words here", "en", "s", 0, *[None] * 11) for i in range(10, 60)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {more}")
+    spark.createDataFrame([(10, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.count() > 40
+    assert p.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(rows)
+
+
 def test_pipeline_odd_documents(spark, tmp_path):
     import corpus_pipeline as p
 

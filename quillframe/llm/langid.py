@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import extended, forgotten, small_batches, written
+from ._common import extended, forgotten, small_batches, trim, written
 
 TRAIN_ROWS = 4000
 ORDERS = (1, 2, 3)
@@ -250,6 +250,8 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", usable:
             smooth = hits[own] + 0.5
             logs[:-1][own] = np.log(smooth) - np.log(smooth.sum(axis=0)) if own.any() else 0
     by_script = {s: sorted(l for l, n in c.items() if n >= 0.001 * sum(c.values())) for s, c in used.items()}
+    del table, found
+    trim()
     return Model(langs, by_script, {g: i for i, g in enumerate(kept)}, logs.astype(np.float32))
 
 

@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import extended, forgotten, small_batches
+from ._common import extended, forgotten, small_batches, trim
 
 TRAIN_ROWS = 16_000
 SPACE = 1 << 20
 PREFIXES = (3, 4, 5)
 MIN_DOCS = 3
 FACTORS = 4
-PAIR_ROWS = 1500
+PAIR_ROWS = 1000
 STEPS = 400
 RATE = 0.1
 DECAY = 3e-6
@@ -156,12 +156,12 @@ def paired(rows: list[np.ndarray], labels: np.ndarray, chance: np.ndarray, max_r
     p = chance[chosen].astype(np.float32)[:, None]
     miss, variance = p - labels[chosen].astype(np.float32)[:, None], np.maximum(p * (1 - p), np.float32(labels.mean() * (1 - labels.mean())))
     found = np.zeros(len(often), bool)
-    for a in range(0, len(often), 512):
-        own = x[:, a:a + 512]
+    for a in range(0, len(often), 256):
+        own = x[:, a:a + 256]
         sums, squares = (own * miss).T @ x[:, a:], (own * variance).T @ x[:, a:]
         clear = np.square(sums) > bound**2 * np.maximum(squares, 1e-9)
         clear &= np.arange(clear.shape[1])[None, :] > np.arange(len(clear))[:, None]
-        found[a:a + 512] |= clear.any(axis=1)
+        found[a:a + 256] |= clear.any(axis=1)
         found[a:] |= clear.any(axis=0)
     return often[found]
 
@@ -241,7 +241,10 @@ def train(
     labels = table["y"].to_numpy()
     rows = [np.frombuffer(b.as_buffer(), np.int32) for b in table["terms"]]
     order = sorted(range(len(rows)), key=lambda i: (sha1(rows[i]).digest(), labels[i]))
-    return fit([rows[i] for i in order], (labels[order] > 0).astype(np.int8))
+    model = fit([rows[i] for i in order], (labels[order] > 0).astype(np.int8))
+    del table, rows
+    trim()
+    return model
 
 
 def scores(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

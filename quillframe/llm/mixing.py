@@ -182,7 +182,8 @@ def thresholds(sized: DataFrame, state: DataFrame, cap: float = 2.0) -> DataFram
         .groupBy("source").agg(F.min_by(F.struct("bucket", (F.col("goal") - F.col("reached") + F.col("more")).alias("left")), "bucket").alias("x"))
         .select(F.col("source").alias("s"), F.col("x.bucket").alias("crossing"), F.col("x.left").alias("left"))
     )
-    state = state.join(crossed, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn("crossing", F.coalesce("crossing", F.lit(_BUCKETS + 1)))
+    state = state.join(written(crossed, "crossed"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    state = written(state.withColumn("crossing", F.coalesce("crossing", F.lit(_BUCKETS + 1))), "crossings", _FILES)
     edge = _rated(sized, state, cap).where((F.col("order") < 1) & (F.col("bucket") == F.col("crossing")))
     sofar = w.orderBy("order", "id", "size").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity
 from ..functions.text import last_word, levenshtein_similarity, phonetic_code, squeezed
-from ..operators import corpus, linkage, lookup, resolve, stats
+from ..operators import corpus, linkage, lookup, nearest, resolve, stats
 from ..session import table as t
 from ..sources.readers import html_entries, layout_names
 from ..streaming import events
@@ -137,7 +137,7 @@ def assign_hungarian(spark: SparkSession, d: str) -> DataFrame:
 
 
 def assign_greedy(spark: SparkSession, d: str) -> DataFrame:
-    return linkage.assign(_block_scores(spark, d), "county", "c_custkey", "other", "score", 0.5, linkage.greedy, strict=True)
+    return nearest.assign_texts(*_parties(spark, d), "county", "c_custkey", "other", "name", "other_name", 0.5, nearest.greedy, strict=True)
 
 
 def _compared(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Queries and operators take all of their input: tests of work that was once left out."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from quillframe import plans
 from quillframe.llm import licences
 from quillframe.functions.text import last_word, levenshtein_similarity, phonetic_code, squeezed
-from quillframe.operators import linkage
+from quillframe.operators import linkage, nearest
 
 
 @pytest.mark.parametrize("name", ["case_match_blocked", "assign_hungarian", "assign_greedy"])
@@ -63,3 +64,38 @@ def test_licence_headers_and_files_are_compared_whole(spark):
         1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-2.0", "own"), 4: (None, "none"), 5: ("BSD-3-Clause", "own"),
         6: ("GPL-3.0", "own"), 7: ("GPL-3.0", "inherited"), 8: ("LGPL-3.0", "own"), 9: ("Apache-2.0", "own"), 10: ("Apache-2.0", "inherited"),
     }
+
+
+def _texts(rng, rows, letters="abé"):
+    return [(i, i % 2, "".join(rng.choice(letters) for _ in range(rng.randint(0, 6)))) for i in range(rows)]
+
+
+def test_assignments_by_text_equal_those_of_all_pairs(spark):
+    rng = random.Random(5)
+    a = spark.createDataFrame(_texts(rng, 70) + [(900, 1, None), (901, None, "ab")], "i long, block long, name string")
+    b = spark.createDataFrame(_texts(rng, 50) + [(900, 0, None)], "j long, block long, other string")
+    pairs = a.join(b, "block").withColumn("score", levenshtein_similarity(F.col("name"), F.col("other"))).where("name is not null and other is not null")
+    for least, fast, slow, strict in ((0.6, nearest.hungarian, linkage.hungarian, False), (0.5, nearest.greedy, linkage.greedy, True)):
+        got = nearest.assign_texts(a, b, "block", "i", "j", "name", "other", least, fast, strict)
+        want = linkage.assign(pairs, "block", "i", "j", "score", least, slow, strict)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 10
+
+
+def test_best_by_text_equals_all_pairs(spark):
+    rng = random.Random(6)
+    a = spark.createDataFrame(_texts(rng, 70), "i long, block long, name string")
+    b = spark.createDataFrame(_texts(rng, 50), "j long, block long, other string")
+    score = linkage.party_score(linkage.name_similarity(F.col("name"), F.col("other")), levenshtein_similarity(F.col("name"), F.col("other")))
+    got = linkage.best_by_text(a, b, "block", "i", "j", "name", "other", score, 0.3, linkage.PARTY_WHOLE)
+    want = linkage.best_in_block(a, b, "block", "i", "j", score, 0.3)
+    assert {(r.i, r.j, r.score) for r in got.collect()} == {(r.i, r.j, r.score) for r in want.collect()} and got.count() > 30
+
+
+@pytest.mark.parametrize("name", ["case_match_blocked", "assign_hungarian", "assign_greedy"])
+def test_linkage_compares_far_fewer_than_all_pairs(spark, tmp_path, name):
+    """3,000 customers of one nation, whose nine million pairs took minutes."""
+    names = spark.range(3000).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey"), F.element_at(F.array(*map(F.lit, ("BUILDING", "HOUSEHOLD"))), (F.col("id") % 2 + 1).cast("int")).alias("c_mktsegment"))
+    names.write.parquet(f"{tmp_path}/customer.parquet")
+    start = time.time()
+    got = plans.queries()[name](spark, str(tmp_path)).collect()
+    assert len(got) == 3000 and all(r.c_custkey == r.other for r in got) and time.time() - start < 30

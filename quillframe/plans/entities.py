@@ -127,13 +127,8 @@ def case_match_blocked(spark: SparkSession, d: str) -> DataFrame:
     return linkage.best_in_block(a, b, "county", "c_custkey", "other", score, 0.3, bound).select("c_custkey", "other", F.round("score", 6).alias("score"))
 
 
-def _block_scores(spark: SparkSession, d: str) -> DataFrame:
-    a, b = _parties(spark, d)
-    return a.join(b, "county").withColumn("score", levenshtein_similarity(F.col("name"), F.col("other_name")))
-
-
 def assign_hungarian(spark: SparkSession, d: str) -> DataFrame:
-    return linkage.assign(_block_scores(spark, d), "county", "c_custkey", "other", "score", 0.6)
+    return nearest.assign_texts(*_parties(spark, d), "county", "c_custkey", "other", "name", "other_name", 0.6)
 
 
 def assign_greedy(spark: SparkSession, d: str) -> DataFrame:

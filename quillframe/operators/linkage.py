@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import sequence_ratio
 from ..functions.text import dates, filled, last_word, money, phonetic_code, squeezed, without_parentheses, without_particle
+from . import nearest
+
+PARTY_WHOLE = 0.3  # of a party's score, what the whole names weigh
 
 
 def best_in_block(left: DataFrame, right: DataFrame, block: str, left_id: str, right_id: str, score: Column, least: float, bound: Column | None = None) -> DataFrame:
@@ -32,6 +35,22 @@ def best_in_block(left: DataFrame, right: DataFrame, block: str, left_id: str, r
     return pairs.where(F.col("score") >= least).withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 
+def best_by_text(left: DataFrame, right: DataFrame, block: str, left_id: str, right_id: str, left_text: str, right_text: str, score: Column, least: float, weight: float) -> DataFrame:
+    """``best_in_block`` for a score of which the likeness of two texts (1 - edits / longer length) weighs ``weight`` and all else the rest, at most 1.
+
+    The likest text's score is one that the best reaches, so only texts alike
+    enough to reach it with all else at its most are scored. Ids name rows.
+    """
+    key, other = [block, left_id], [block, right_id]
+    scored = lambda pairs: pairs.join(left, key).join(right, other).withColumn("score", score)
+    reached = scored(nearest.alike_in_block(left, right, block, left_id, right_id, left_text, right_text))
+    need = (F.greatest(F.col("score"), F.lit(least)) - 1e-9 - (1 - weight)) / weight
+    asked = reached.select(block, left_id, left_text, need.alias("__need"))
+    pairs = scored(nearest.alike_in_block(asked, right, block, left_id, right_id, left_text, right_text, "__need"))
+    order = Window.partitionBy(left_id).orderBy(F.desc("score"), right_id)
+    return pairs.where(F.col("score") >= least).withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+
+
 def hungarian(scores: np.ndarray) -> list[tuple[int, int]]:
     """(row, column) pairs of the assignment with the largest sum, shortest augmenting paths; lower numbers on ties."""
     turned = scores.shape[0] > scores.shape[1]
@@ -125,7 +144,7 @@ def presence_score(a: Column, b: Column, similarity: Column) -> Column:
 
 
 def party_score(name: Column, whole: Column) -> Column:
-    return 0.7 * name + 0.3 * whole
+    return (1 - PARTY_WHOLE) * name + PARTY_WHOLE * whole
 
 
 def _words(x: Column, least: int, besides: tuple[str, ...] = ()) -> Column:

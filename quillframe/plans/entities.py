@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity
-from ..functions.text import last_word, levenshtein_similarity, phonetic_code, squeezed
+from ..functions.text import levenshtein_similarity
 from ..operators import corpus, linkage, lookup, nearest, resolve, stats
 from ..session import table as t
 from ..sources.readers import html_entries, layout_names
@@ -112,19 +112,13 @@ def _parties(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return c, c.select("county", F.col("c_custkey").alias("other"), F.translate("name", "aeo", "eoa").alias("other_name"))
 
 
-def _sounds(df: DataFrame, name: str, prefix: str) -> DataFrame:
-    surname = last_word(F.col(name))
-    return df.withColumns({f"{prefix}_code": phonetic_code(surname), f"{prefix}_surname": squeezed(surname), f"{prefix}_whole": squeezed(F.col(name))})
-
-
 def case_match_blocked(spark: SparkSession, d: str) -> DataFrame:
     """Customers matched with misread copies in their nation."""
     a, b = _parties(spark, d)
-    a, b = _sounds(a, "name", "a"), _sounds(b, "other_name", "b")
     whole = levenshtein_similarity(F.col("name"), F.col("other_name"))
     score = linkage.party_score(linkage.name_similarity(F.col("name"), F.col("other_name")), whole)
-    bound = linkage.party_score(linkage.name_bound(*(F.col(f"{side}_{part}") for part in ("code", "surname", "whole") for side in "ab")), whole)
-    return linkage.best_in_block(a, b, "county", "c_custkey", "other", score, 0.3, bound).select("c_custkey", "other", F.round("score", 6).alias("score"))
+    found = linkage.best_by_text(a, b, "county", "c_custkey", "other", "name", "other_name", score, 0.3, linkage.PARTY_WHOLE)
+    return found.select("c_custkey", "other", F.round("score", 6).alias("score"))
 
 
 def assign_hungarian(spark: SparkSession, d: str) -> DataFrame:

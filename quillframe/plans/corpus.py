@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import symbol_ngrams
-from ..operators import corpus
+from ..operators import corpus, runs
 from ..session import table as t
 
 
@@ -125,10 +125,7 @@ def _runs(n: int) -> Column:
 
 def document_char_ngrams(spark: SparkSession, d: str) -> DataFrame:
     """Letter n-grams of all documents up to five long."""
-    rows = _symbols(spark, d)
-    each = [rows.select(F.lit(n).cast("long").alias("length"), F.explode(_runs(n)).alias("ngram")) for n in range(1, 6)]
-    grams = each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3]).unionByName(each[4])
-    return grams.groupBy("length", "ngram").agg(F.count(F.lit(1)).alias("n")).where("n >= 20")
+    return runs.symbol_runs(t(spark, d, "documents"), "text", 5, 20)
 
 
 def _document_words(spark: SparkSession, d: str) -> DataFrame:

@@ -50,3 +50,21 @@ def test_letter_ngrams_of_documents_up_to_five(spark, sf):
         for n in range(1, 6):
             want.update((n, "".join(s[i:i + n])) for i in range(len(s) - n + 1))
     assert got == {k: n for k, n in want.items() if n >= 20}
+
+
+def test_letter_runs_of_many_symbols_and_tags(spark):
+    """As many symbols as no packed key holds, tags, and ends that are none."""
+    from quillframe.operators import runs
+
+    many = "".join(chr(0x4E00 + i) for i in range(9000))
+    for texts in ([many, many[::-1] + "a", "x"], ["a <b c> d<>e < f", "ab<b c>\nab> <", "", None, "\U0001F600 a a a a a a"]):
+        want = Counter()
+        for s in map(symbols, filter(None, texts)):
+            want.update((n, "".join(s[i:i + n])) for n in range(1, 6) for i in range(len(s) - n + 1))
+        got = runs.symbol_runs(spark.createDataFrame([(x,) for x in texts], "text string"), "text", 5, 1)
+        assert {(r.length, r.ngram): r.n for r in got.collect()} == want
+
+
+def test_letter_runs_are_counted_before_they_are_shuffled(spark, sf):
+    plan = plans.queries()["document_char_ngrams"](spark, sf)._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import language_model as lm
+from ..operators import trigrams
 from ..session import table as t
 
 
@@ -15,14 +16,14 @@ def _sequences(spark: SparkSession, d: str, name: str, key: str) -> DataFrame:
 
 def backoff_trigrams(spark: SparkSession, d: str) -> DataFrame:
     """A trigram model of all documents."""
-    out = lm.backoff_model(_sequences(spark, d, "documents", "doc_id"), "s")
+    out = trigrams.backoff_model(_sequences(spark, d, "documents", "doc_id"), "s")
     return out.select(F.col("order").cast("long").alias("order"), "w1", "w2", "w3", (F.round("log_prob", 6) + 0.0).alias("log_prob"), (F.round("backoff", 5) + 0.0).alias("backoff"))
 
 
 def backoff_scoring(spark: SparkSession, d: str) -> DataFrame:
     """The turns of all conversations as likely as the documents' model finds them."""
-    model = lm.backoff_model(_sequences(spark, d, "documents", "doc_id"), "s")
     turns = t(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), lm.marked(F.col("text")).alias("s"))
+    model = lm.backoff_model(_sequences(spark, d, "documents", "doc_id"), "s")
     return lm.backoff_scores(turns, "id", "s", model).select("id", "n", F.round("log_prob", 4).alias("log_prob"))
 
 

@@ -74,3 +74,32 @@ def test_marks_and_collapsed_labels(spark):
         lines.collapsed_labels(F.array(*map(F.lit, (0, 3, 3, 0, 3, 2, 2)))).alias("l"),
     ).first()
     assert row.m == "Sure, [(unsure)] none [[low.]]" and row.l == [3, 3, 2]
+
+
+def test_models_dealt_to_many_tasks_equal_those_by_joins(spark, sf, monkeypatch):
+    """Slots of few runs, so that common words have several and blobs are many."""
+    from quillframe.operators import trigrams
+
+    monkeypatch.setattr(trigrams, "SHARE", 500)
+    texts = spark.read.parquet(f"{sf}/documents.parquet").limit(60).select("doc_id", lm.marked(F.col("text")).alias("s")).cache()
+    asked = spark.createDataFrame([("1", "the of zzzz the"), ("2", "of the and in the"), ("3", None)], "id string, text string").select("id", lm.marked(F.col("text")).alias("s"))
+    plan, _ = trigrams._plan(texts, "s")
+    assert plan.slots > 5 and (plan.spread > 1).sum() > 2
+    row = lambda r: (r.order, r.w1, r.w2, r.w3)
+    old = lm.backoff_model(texts, "s").cache()
+    want, found = {row(r): r for r in old.collect()}, trigrams.backoff_model(texts, "s").collect()
+    got = {row(r): r for r in found}
+    assert got.keys() == want.keys() and len(found) == len(got)
+    for k, r in want.items():
+        assert got[k].log_prob == pytest.approx(r.log_prob, abs=1e-9) and (got[k].backoff is None) == (r.backoff is None)
+        assert r.backoff is None or got[k].backoff == pytest.approx(r.backoff, abs=1e-6)
+    scored = {r.id: (r.n, r.log_prob) for r in trigrams.backoff_scores(texts, "s", asked, "id", "s").collect()}
+    assert scored == {r.id: (r.n, pytest.approx(r.log_prob)) for r in lm.backoff_scores(asked, "id", "s", old).collect()}
+
+
+@pytest.mark.parametrize("name", ["backoff_trigrams", "backoff_scoring"])
+def test_backoff_queries_shuffle_packed_runs(spark, sf, name):
+    from quillframe import plans
+
+    plan = plans.queries()[name](spark, sf)._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "Join" not in plan

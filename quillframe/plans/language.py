@@ -23,8 +23,7 @@ def backoff_trigrams(spark: SparkSession, d: str) -> DataFrame:
 def backoff_scoring(spark: SparkSession, d: str) -> DataFrame:
     """The turns of all conversations as likely as the documents' model finds them."""
     turns = t(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), lm.marked(F.col("text")).alias("s"))
-    model = lm.backoff_model(_sequences(spark, d, "documents", "doc_id"), "s")
-    return lm.backoff_scores(turns, "id", "s", model).select("id", "n", F.round("log_prob", 4).alias("log_prob"))
+    return trigrams.backoff_scores(_sequences(spark, d, "documents", "doc_id"), "s", turns, "id", "s").select("id", "n", F.round("log_prob", 4).alias("log_prob"))
 
 
 def context_expansion(spark: SparkSession, d: str) -> DataFrame:
